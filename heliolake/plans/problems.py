@@ -8,6 +8,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from heliolake.functions.geo_columns import measures
+from heliolake.operators import skew
+from heliolake.operators import timestamps
 from heliolake.operators import units as U
 from heliolake.sources.tables import read_table
 
@@ -61,3 +63,40 @@ def p1_found(spark: SparkSession, sf: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {"p1_found": p1_found, "p1_values": p1_values}
+
+
+def p4_positions(spark: SparkSession, sf: str) -> DataFrame:
+    """Load-order position of every row within its dataset and within its unified id."""
+    df = read_table(spark, sf, "stg_pv_consolidated", "row_id", "dataset_name", "unified_id", "processed_at")
+    long = df.select("row_id", "processed_at", F.explode(F.array(*[F.struct(F.lit(c).alias("field_name"), F.col(c).alias("key_value")) for c in ("dataset_name", "unified_id")])).alias("__k"))
+    long = long.select("__k.field_name", "__k.key_value", "row_id", "processed_at")
+    return skew.positions(long, "key_value", ["processed_at", "row_id"], by=["field_name"]).select("field_name", "key_value", "row_id", "position")
+
+
+def p4_found(spark: SparkSession, sf: str) -> DataFrame:
+    """The rows numbered 100, 200, 300 and so on."""
+    return p4_positions(spark, sf).filter(F.col("position") % 100 == 0).select("field_name", "key_value", "row_id")
+
+
+QUERIES |= {"p4_found": p4_found, "p4_positions": p4_positions}
+
+
+def p5_values(spark: SparkSession, sf: str) -> DataFrame:
+    """Every recorded date or time in one form."""
+    manifest = F.broadcast(read_table(spark, sf, "dataset_manifest", "dataset_name", "local_tz", "date_order"))  # one row a dataset
+    parts = []
+    for table, columns in (("raw_uk_crowdsourced_pv_2020", ("osm_tag_start_date", "repd_operational_date")), ("stg_pv_consolidated", ("install_date",))):
+        df = read_table(spark, sf, table, "row_id", "dataset_name", *columns)
+        one = F.explode(F.array(*[F.struct(F.lit(c).alias("field_name"), F.col(c).alias("text")) for c in columns])).alias("__f")
+        parts.append(df.select(F.lit(table).alias("table_name"), "row_id", "dataset_name", one).select("table_name", "row_id", "dataset_name", "__f.field_name", "__f.text"))
+    values = parts[0].unionByName(parts[1]).filter("text IS NOT NULL").join(manifest, "dataset_name", "left")
+    out = timestamps.normalise(values, "text", F.col("local_tz"), F.col("date_order"))
+    return out.select("table_name", "row_id", "field_name", "text", "written_date", "instant", "day", "precision", "zone_source", "tz_version")
+
+
+def p5_found(spark: SparkSession, sf: str) -> DataFrame:
+    """Values whose written calendar day isn't that of their moment in UTC."""
+    return p5_values(spark, sf).filter(F.to_date("instant") != F.col("written_date")).select("table_name", "row_id", "field_name")
+
+
+QUERIES |= {"p5_found": p5_found, "p5_values": p5_values}
