@@ -7,8 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from heliolake.functions.geo_columns import measures
-from heliolake.operators import skew
+from heliolake.functions.geo_columns import measures, with_position
+from heliolake.operators import skew, spatial
 from heliolake.operators import timestamps
 from heliolake.operators import units as U
 from heliolake.sources.tables import read_table
@@ -100,3 +100,28 @@ def p5_found(spark: SparkSession, sf: str) -> DataFrame:
 
 
 QUERIES |= {"p5_found": p5_found, "p5_values": p5_values}
+
+
+def positions_of(spark: SparkSession, sf: str) -> DataFrame:
+    """``row_id, pos_lon, pos_lat`` of the consolidated records, from the geometry."""
+    df = read_table(spark, sf, "stg_pv_consolidated", "row_id", "geometry")
+    return with_position(df, "geometry").select("row_id", "pos_lon", "pos_lat")
+
+
+def p6_pairs(spark: SparkSession, sf: str) -> DataFrame:
+    """Pairs of records at most 100 m apart, with their distance."""
+    return spatial.near_pairs(positions_of(spark, sf), "row_id", "pos_lon", "pos_lat", 100.0).select(F.col("a").alias("row_id_a"), F.col("b").alias("row_id_b"), "distance_m")
+
+
+def p6_found(spark: SparkSession, sf: str) -> DataFrame:
+    """Pairs of records at most 100 m apart."""
+    return p6_pairs(spark, sf).select("row_id_a", "row_id_b")
+
+
+def p6_divisions(spark: SparkSession, sf: str) -> DataFrame:
+    """The divisions (country, region) that contain each record's position."""
+    regions = read_table(spark, sf, "overture_division_area", "division_id", "geometry")
+    return spatial.containing_regions(positions_of(spark, sf), "row_id", "pos_lon", "pos_lat", regions, "division_id", "geometry")
+
+
+QUERIES |= {"p6_found": p6_found, "p6_pairs": p6_pairs, "p6_divisions": p6_divisions}
