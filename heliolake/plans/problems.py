@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from heliolake.functions.geo_columns import measures, with_position
-from heliolake.operators import skew, spatial
+from heliolake.operators import drift, skew, spatial
 from heliolake.operators import timestamps
 from heliolake.operators import units as U
 from heliolake.sources.tables import read_table
@@ -125,3 +125,25 @@ def p6_divisions(spark: SparkSession, sf: str) -> DataFrame:
 
 
 QUERIES |= {"p6_found": p6_found, "p6_pairs": p6_pairs, "p6_divisions": p6_divisions}
+
+
+def deliveries(spark: SparkSession, sf: str) -> DataFrame:
+    return read_table(spark, sf, "raw_deliveries", "record_id", "dataset_name", "source_file", "file_seq", "payload")
+
+
+def p3_changes(spark: SparkSession, sf: str) -> DataFrame:
+    """Every change of a file against the file before it, with the types on both sides."""
+    return drift.changes(deliveries(spark, sf))[0]
+
+
+def p3_found(spark: SparkSession, sf: str) -> DataFrame:
+    """Every change of a file against the file before it."""
+    return p3_changes(spark, sf).select("source_file", "change_kind", "old_name", "new_name")
+
+
+def p3_unified(spark: SparkSession, sf: str) -> DataFrame:
+    """One consistent table of all delivered records, under canonical names."""
+    return drift.unified(deliveries(spark, sf))
+
+
+QUERIES |= {"p3_found": p3_found, "p3_changes": p3_changes, "p3_unified": p3_unified}
