@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from heliolake.llm import packing, survivors, tokens
+from heliolake.llm import packing, spam, survivors, tokens
 from heliolake.session import cut_table
 from heliolake.sources.tables import read_table
 
@@ -54,5 +54,15 @@ def p8_packed(spark: SparkSession, sf: str) -> DataFrame:
     return packing.pack(cut_table(sizes), "doc_id", "n_tokens", CAPACITY)
 
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {"p2_found": p2_found, "p2_records": p2_records, "p7_ids": p7_ids, "p8_packed": p8_packed}
+def p9_pages(spark: SparkSession, sf: str) -> DataFrame:
+    """Part of every text that is lists instead of statements."""
+    return spam.page_shares(read_table(spark, sf, "documents", "doc_id", "text"), "doc_id", "text")
+
+
+def p9_found(spark: SparkSession, sf: str) -> DataFrame:
+    """Pages of repeated key phrases, links, breadcrumbs, tags or product names."""
+    return p9_pages(spark, sf).filter("is_spam").select("doc_id")
+
+
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {"p2_found": p2_found, "p2_records": p2_records, "p7_ids": p7_ids, "p8_packed": p8_packed, "p9_found": p9_found, "p9_pages": p9_pages}
 ORACLE: dict[str, str] = {}
