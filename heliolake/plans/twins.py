@@ -239,7 +239,7 @@ def cell_exists(spark: SparkSession, sf: str) -> DataFrame:
 SELECT g.gx, g.gy, coalesce(p.n, 0)::BIGINT AS n, coalesce(p.area, 0)::BIGINT AS area FROM g LEFT JOIN p ON p.gx = g.gx AND p.gy = g.gy""")
 def grid_left_fill(spark: SparkSession, sf: str) -> DataFrame:
     p = rects(spark, sf, "part").groupBy(F.expr("(x0 div 40)*40").alias("gx"), F.expr("(y0 div 30)*30").alias("gy")).agg(F.count("*").alias("n"), F.sum(F.expr("(x1-x0)*(y1-y0)")).alias("area"))
-    grid = spark.range(10).select((F.col("id") * 40).alias("gx"), F.explode(F.sequence(F.lit(0), F.lit(270), F.lit(30))).cast("bigint").alias("gy"))
+    grid = spark.range(10).select((F.col("id") * 40).alias("gx"), F.explode(F.expr("sequence(0L, 270L, 30L)")).alias("gy"))
     return grid.join(p, ["gx", "gy"], "left").na.fill(0, ["n", "area"])
 
 
