@@ -147,3 +147,10 @@ def p3_unified(spark: SparkSession, sf: str) -> DataFrame:
 
 
 QUERIES |= {"p3_found": p3_found, "p3_changes": p3_changes, "p3_unified": p3_unified}
+
+
+#: SQL of the problems that SQL can express.
+ORACLE: dict[str, str] = {
+    "p4_found": """SELECT field_name, key_value, row_id FROM (SELECT *, row_number() OVER (PARTITION BY field_name, key_value ORDER BY processed_at NULLS FIRST, row_id) AS n FROM (SELECT 'dataset_name' AS field_name, dataset_name AS key_value, row_id, processed_at FROM stg_pv_consolidated UNION ALL SELECT 'unified_id', unified_id, row_id, processed_at FROM stg_pv_consolidated) WHERE key_value IS NOT NULL) WHERE n % 100 = 0""",
+    "p4_positions": """SELECT field_name, key_value, row_id, row_number() OVER (PARTITION BY field_name, key_value ORDER BY processed_at NULLS FIRST, row_id) AS position FROM (SELECT 'dataset_name' AS field_name, dataset_name AS key_value, row_id, processed_at FROM stg_pv_consolidated UNION ALL SELECT 'unified_id', unified_id, row_id, processed_at FROM stg_pv_consolidated) WHERE key_value IS NOT NULL""",
+}
