@@ -10,8 +10,8 @@ A page is flagged if labels other than prose cover at least two thirds of its te
 
 The model is trained here: lines that are certain by themselves (function words and little
 repetition; addresses and nothing else; the same phrase again and again) are labelled in a sample of
-at most ``SAMPLE`` documents of at most ``SAMPLE_CHARS`` characters, those with the lowest hash of
-their id; word likelihoods are estimated from them, and two rounds of Viterbi training let the
+about ``SAMPLE`` documents of at most ``SAMPLE_CHARS`` characters, chosen by a hash of their
+id; word likelihoods are estimated from them, and two rounds of Viterbi training let the
 model label every line of the sample and learn from all. The sample bounds what the driver
 holds. Labelling covers every line of every document; copies get the same label as they have the
 same text.
@@ -22,6 +22,7 @@ numbers count as prose; without documents, or without any certain line, nothing
 
 from __future__ import annotations
 
+import math
 import re
 from collections import Counter
 from collections.abc import Iterator
@@ -33,7 +34,7 @@ from pyspark.sql import functions as F
 
 PROSE, LINKS, TAGS, MENU = range(4)
 STATES = 4
-SAMPLE, SAMPLE_CHARS, ROUNDS = 8000, 16_384, 2
+SAMPLE, SAMPLE_CHARS, ROUNDS = 4000, 16_384, 2
 #: Words that the model may know.
 VOCABULARY = 60_000
 #: Part of the text that must be other than prose.
@@ -105,23 +106,23 @@ def lines_of(text: str) -> list[tuple[list[str], int]]:
 def words_of(line: str) -> list[str]:
     """Words of a line, in classes where the spelling says nothing."""
     out: list[str] = []
-    for m in _WORD.finditer(line):
-        w = m[0]
+    for w in _WORD.findall(line):
         c = w[0]
-        if c == "\x01":
+        if c.isalpha():
+            if "㐀" <= c <= "鿿":
+                out += [w[i : i + 2] for i in range(len(w) - 1)] or [w]
+            elif "-" in w:
+                out.append("<model>")
+            else:
+                out.append(w.lower())
+        elif c == "\x01":
             out.append("<url>")
         elif c == "#":
-            out.append("<tag>" if not w[1:].isdigit() else "<number>")
+            out.append("<number>" if w[1:].isdigit() else "<tag>")
         elif c == ">":
             out.append("<crumb>")
-        elif c.isdigit():
-            out.append("<number>" if w[-1].isdigit() else "<measure>")
-        elif "㐀" <= c <= "鿿":
-            out += [w[i : i + 2] for i in range(len(w) - 1)] or [w]
-        elif "-" in w:
-            out.append("<model>")
         else:
-            out.append(w.lower())
+            out.append("<number>" if w[-1].isdigit() else "<measure>")
     return out
 
 
@@ -165,9 +166,8 @@ class Model:
 
     def __init__(self, known: dict[str, int], weights: np.ndarray) -> None:
         self.known, self.weights = known, weights
-        move = (1 - STAY) / (STATES - 1)
-        self.step = np.log(np.full((STATES, STATES), move) + np.eye(STATES) * (STAY - move))
-        self.start = np.log(np.array([0.7, 0.1, 0.1, 0.1]))
+        self.stay, self.move = math.log(STAY), math.log((1 - STAY) / (STATES - 1))
+        self.start = [math.log(p) for p in (0.7, 0.1, 0.1, 0.1)]
 
     def emissions(self, lines: list[list[str]]) -> np.ndarray:
         get, none = self.known.get, len(self.known)
@@ -177,20 +177,30 @@ class Model:
         return TEMPER * sums
 
     def label(self, lines: list[list[str]]) -> np.ndarray:
-        """Most likely sequence of labels."""
-        e = self.emissions(lines)
-        n = len(e)
-        back = np.zeros((n, STATES), np.int8)
-        score = self.start + e[0]
-        for t in range(1, n):
-            through = score[:, None] + self.step
-            back[t] = through.argmax(0)
-            score = through.max(0) + e[t]
-        out = np.zeros(n, np.int8)
-        out[-1] = score.argmax()
-        for t in range(n - 1, 0, -1):
-            out[t - 1] = back[t, out[t]]
-        return out
+        """Most likely sequence of labels.
+
+        All changes of label are equally likely, so the best way into a label is to stay, or to come
+        from the best label of all.
+        """
+        rows = self.emissions(lines).tolist()
+        score = [a + b for a, b in zip(self.start, rows[0])]
+        back: list[list[int]] = []
+        for e in rows[1:]:
+            top = max(score)
+            best, come = score.index(top), top + self.move
+            came, now = [], []
+            for k in range(STATES):
+                stay = score[k] + self.stay
+                came.append(k if stay >= come else best)
+                now.append((stay if stay >= come else come) + e[k])
+            back.append(came)
+            score = now
+        at = score.index(max(score))
+        out = [at]
+        for came in reversed(back):
+            at = came[at]
+            out.append(at)
+        return np.array(out[::-1], np.int8)
 
 
 def _estimate(counts: list[Counter]) -> Model:
@@ -200,7 +210,12 @@ def _estimate(counts: list[Counter]) -> Model:
     words = sorted((w for w, v in total.items() if v >= 3), key=lambda w: (-total[w], w))[:VOCABULARY]
     table = np.array([[c[w] for c in counts] for w in words], float).reshape(-1, STATES)
     smooth = table + 0.5
-    logs = np.log(smooth / smooth.sum(0, keepdims=True))
+    # a script's share differs from label to label by accident of the sample: words compete within theirs
+    script = np.array([0 if w[0] == "<" else 1 if "㐀" <= w[0] <= "鿿" else 2 for w in words])
+    logs = np.zeros_like(smooth)
+    for k in range(3):
+        of = smooth[script == k] if k else smooth
+        logs[script == k] = np.log(smooth[script == k] / (of.sum(0, keepdims=True) + 1))
     logs -= logs.mean(1, keepdims=True)
     logs = np.clip(logs, -4, 4)
     return Model({w: i for i, w in enumerate(words)}, np.vstack((logs, np.zeros((1, STATES)))))
@@ -245,9 +260,15 @@ def share_of(model: Model, text: str | None) -> tuple[float, int]:
 
 
 def fit(df: DataFrame, key: str, text: str, sample: int = SAMPLE) -> Model | None:
-    """Train on at most ``sample`` texts of at most ``SAMPLE_CHARS`` characters, those whose ids have the lowest hash."""
-    some = df.select(key, text).filter(F.col(text).isNotNull() & (F.length(text) <= SAMPLE_CHARS)).orderBy(F.xxhash64(key), key).limit(sample)
-    return train([r[1] for r in some.collect()])
+    """Train on about ``sample`` texts of at most ``SAMPLE_CHARS`` characters, chosen by a hash of their ids.
+
+    The driver gets these rows only, however many partitions there are, and never more than twice as many.
+    """
+    n = df.count()
+    share = min(1.0, sample / max(n, 1))
+    chosen = F.shiftrightunsigned(F.xxhash64(key, F.lit(9)), 11) < int(share * (1 << 53))
+    some = df.select(key, text).filter(F.col(text).isNotNull() & (F.length(text) <= SAMPLE_CHARS) & chosen).limit(2 * sample)
+    return train([r[1] for r in some.orderBy(key).collect()])
 
 
 def page_shares(df: DataFrame, key: str, text: str, sample: int = SAMPLE) -> DataFrame:
