@@ -3,7 +3,7 @@
 1. Every field of every file is profiled in one aggregate: JSON types, filled values, and a
    theta sketch of its values (bounded size, mergeable).
 2. The profiles of successive files are compared. Fields of one side only are candidates for
-   a rename, and so are fields of both sides whose sketches share nothing.
+   a rename, and so are fields of both sides whose sketches share next to nothing.
 3. Only for files with candidates on both sides, redelivered records are paired by values that
    occur once in either file; at least two must agree where records have two. Agreement of
    each old with each new candidate over these pairs, beyond what chance would give, weighs the
@@ -33,8 +33,8 @@ from heliolake.session import cut, cut_table
 AGREEMENT = 0.5
 #: Least number of agreeing values.
 EVIDENCE = 2
-#: Shared names whose sketches, each of at least so many values, have nothing in common are looked into.
-DISTINCT = 20
+#: Shared names whose sketches, each of at least so many values, have less than this share in common are looked into.
+DISTINCT, STRANGE = 20, 0.2
 #: Weight of name similarity and of equal types against agreement, which weighs 1.
 NAME_WEIGHT, TYPE_WEIGHT = 0.05, 0.02
 
@@ -124,6 +124,7 @@ def numbered_files(lines: DataFrame) -> DataFrame:
 
 def profiled(lines: DataFrame, record: str = "record_id") -> tuple[DataFrame, DataFrame, DataFrame]:
     """(files, fields of all records, profile of each field of each file); fields and profiles are written once."""
+    lines = lines.select("dataset_name", "source_file", "file_seq", "payload", record)
     files = cut(numbered_files(lines))
     other = files.select(F.col("dataset_name").alias("__d"), F.col("source_file").alias("__s"), F.col("file_seq").alias("__q"), "file_no")
     same = F.col("dataset_name").eqNullSafe(F.col("__d")) & F.col("source_file").eqNullSafe(F.col("__s")) & F.col("file_seq").eqNullSafe(F.col("__q"))
@@ -192,7 +193,7 @@ def compare(profile: DataFrame) -> DataFrame:
         & new
         & (F.expr("theta_sketch_estimate(old_sketch)") >= DISTINCT)
         & (F.expr("theta_sketch_estimate(new_sketch)") >= DISTINCT)
-        & (F.expr("theta_sketch_estimate(theta_intersection(old_sketch, new_sketch))") == 0)
+        & (F.expr("theta_sketch_estimate(theta_intersection(old_sketch, new_sketch))") < STRANGE * F.expr("least(theta_sketch_estimate(old_sketch), theta_sketch_estimate(new_sketch))"))
     )
     strange = F.coalesce(strange, F.lit(False))
     return c.select(

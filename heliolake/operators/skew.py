@@ -41,9 +41,13 @@ def heavy_keys(df: DataFrame, key: str, share: float = SHARE, by: list[str] | No
 
 
 def positions(df: DataFrame, key: str, order: list[str], by: list[str] | None = None, out: str = "position", share: float = SHARE) -> DataFrame:
-    """``df`` with the position (from 1) of each row within its key; ``by`` are further, few-valued key columns."""
+    """``df`` with the position (from 1) of each row within its key; ``by`` are further, few-valued key columns.
+
+    A column named ``out`` in the input is replaced; ``__slice`` and ``__before`` are reserved.
+    """
     by = by or []
     keys = [*by, key]
+    df = df.drop(out, "__slice", "__before")
     slices = max(2, partitions(df.sparkSession))
     rows = df.filter(F.col(key).isNotNull())
     rows = cut(rows.repartitionByRange(slices, *[F.col(c).asc_nulls_first() for c in order]).withColumn("__slice", F.spark_partition_id()))
@@ -58,7 +62,9 @@ def positions(df: DataFrame, key: str, order: list[str], by: list[str] | None =
     per_slice = hot.groupBy(*keys, "__slice").agg(F.count("*").alias("__c"))
     before = Window.partitionBy(*keys).orderBy("__slice").rowsBetween(Window.unboundedPreceding, -1)
     offsets = per_slice.select(*keys, "__slice", F.coalesce(F.sum("__c").over(before), F.lit(0)).alias("__before"))
-    hot = hot.join(F.broadcast(offsets), [*keys, "__slice"])
+    # small enough to broadcast by its bound; beyond that the join shuffles by (key, slice), which is even
+    small = len(keys) * slices / share <= 500_000
+    hot = hot.join(F.broadcast(offsets) if small else offsets, [*keys, "__slice"])
     hot = hot.withColumn(out, F.col("__before") + F.row_number().over(Window.partitionBy(*keys, "__slice").orderBy(*ordered))).drop("__before")
 
     cold = cold.withColumn(out, F.row_number().over(Window.partitionBy(*keys).orderBy(*ordered)).cast("long"))

@@ -111,12 +111,14 @@ def normalise(df: DataFrame, value: str, zone: Column, date_order: Column) -> Da
     """Add ``written_date``, ``instant`` (UTC), ``day`` (date where no time is given), ``precision``, ``zone_source`` and ``tz_version``.
 
     ``zone`` and ``date_order`` (DMY, MDY, YMD) hold for values that don't say themselves.
+    Columns of these names in the input are replaced; names that begin with two underscores
+    are reserved.
     """
     work = df.withColumns({"__v": tidy(F.col(f"`{value}`")), "__zone": zone, "__order": date_order})
     work = work.withColumn("__mask", F.when(F.length("__v") <= 64, shape_mask(F.col("__v"))))
     parsers = work.select(F.col("__mask").alias("mask")).filter("mask IS NOT NULL").distinct().mapInPandas(_parsers, _SCHEMA)
     p = parsers.select(F.col("mask").alias("__mask"), F.struct(*[c for c in parsers.columns if c != "mask"]).alias("__p"))
-    work = work.join(F.broadcast(p), "__mask", "left")
+    work = work.drop("__p").join(F.broadcast(p), "__mask", "left")
 
     def part(k: str) -> Column:
         return F.when(F.col(f"__p.{k}") > 0, F.substring(F.col("__v"), F.col(f"__p.{k}"), F.col(f"__p.{k}_n")))

@@ -60,7 +60,7 @@ def staged(df: DataFrame, resolution: int = P.DEDUP_RESOLUTION) -> DataFrame:
         lon.alias("centroid_lon"),
         lat.alias("centroid_lat"),
         F.col("__a").alias("area_m2"),
-        F.col("dbt_loaded_at").alias("processed_at"),
+        F.col("dbt_loaded_at").cast("timestamp").alias("processed_at"),
         F.when(lon.isNotNull(), H.latlng_to_cell(lat, lon, resolution)).alias("cell"),
         *[R.candidate(df, names, KINDS[f]).alias(f) for f, names in CANDIDATES.items()],
     )
