@@ -149,10 +149,10 @@ def array_agg_distinct(spark: SparkSession, sf: str) -> DataFrame:
     return table(spark, sf, "orders", "o_custkey", "o_orderpriority").groupBy("o_custkey").agg(s.alias("s")).select("o_custkey", F.array_join("s", "|").alias("priorities"), F.size("s").cast("bigint").alias("n"))
 
 
-@twin("""SELECT strftime(date_trunc('month', o_orderdate), '%Y-%m') AS period, count(*) AS n, round(sum(o_totalprice) / 1000, 4) AS thousands, quarter(any_value(date_trunc('month', o_orderdate))) AS quarter_no FROM orders WHERE o_totalprice IS NOT NULL GROUP BY 1""")
+@twin("""SELECT strftime(date_trunc('month', o_orderdate), '%Y-%m') AS period, count(*) AS n, round(sum(o_totalprice), 2) / 1000 AS thousands, quarter(any_value(date_trunc('month', o_orderdate))) AS quarter_no FROM orders WHERE o_totalprice IS NOT NULL GROUP BY 1""")
 def monthly_series(spark: SparkSession, sf: str) -> DataFrame:
     m = F.date_trunc("month", "o_orderdate")
-    df = table(spark, sf, "orders", "o_orderdate", "o_totalprice").dropna(subset=["o_totalprice"]).groupBy(m.alias("m")).agg(F.count("*").alias("n"), F.round(F.sum("o_totalprice") / 1000, 4).alias("thousands"))
+    df = table(spark, sf, "orders", "o_orderdate", "o_totalprice").dropna(subset=["o_totalprice"]).groupBy(m.alias("m")).agg(F.count("*").alias("n"), (F.round(F.sum("o_totalprice"), 2) / 1000).alias("thousands"))
     return df.select(F.date_format("m", "yyyy-MM").alias("period"), "n", "thousands", F.quarter("m").cast("bigint").alias("quarter_no"))
 
 
