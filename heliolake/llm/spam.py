@@ -72,6 +72,7 @@ FUNCTION_WORDS = frozenset(
 
 _ANCHOR = re.compile(r"<a\b[^>]*>", re.I)
 _URL = re.compile(r"(?:https?://|www\.)[^\s<>\"')\]]+|(?<![\w@])[\w-]+(?:\.[\w-]+)*\.[a-z]{2,12}(?=/[^\s<>\"')\]]|[\s).,;|]|$)(?:/[^\s<>\"')\]]*)?", re.I)
+_MAY_LINK = re.compile(r"\.[A-Za-z]{2}|://|www\.")
 _CUT = re.compile(r"\n+|(?<=[.!?])[\"”’)]*\s+|(?<=[。！？；])|\s+[|·•/»›–—-]\s+|</a>|;\s")
 _WORD = re.compile(r"\x01|#\w+|[A-ZÀ-Þ]{2,}\w*-\d+|[㐀-鿿]+|\d+(?:[.,:/-]\d+)*[A-Za-z]?|>|(?![㐀-鿿])[^\W\d_](?:(?![㐀-鿿])[\w@])*")
 _SPAN = re.compile(r"\S+")
@@ -80,8 +81,11 @@ _WINDOW, _LONGEST = 16, 32
 
 def _windows(line: str) -> Iterator[str]:
     """A line whole, or cut after every so many blanks or, without blanks, characters."""
-    spans = list(_SPAN.finditer(line))
-    if len(spans) > _LONGEST:
+    if len(line) < 2 * _LONGEST:
+        yield line
+        return
+    spans = list(_SPAN.finditer(line)) if len(line.split()) > _LONGEST else ()
+    if spans:
         for k in range(0, len(spans), _WINDOW):
             yield line[spans[k].start() : spans[min(k + _WINDOW, len(spans)) - 1].end()]
     elif len(line) > 600:
@@ -91,39 +95,40 @@ def _windows(line: str) -> Iterator[str]:
         yield line
 
 
-def lines_of(text: str) -> list[tuple[list[str], int]]:
-    """(words, number of characters) of each line that has words."""
-    text = _URL.sub(lambda m: "\x01" + "\x02" * (len(m[0]) - 1), _ANCHOR.sub(lambda m: " \x01" + "\x02" * max(0, len(m[0]) - 1) + " ", text))
-    out = []
+def raw_lines_of(text: str) -> list[tuple[list[str], int]]:
+    """(spelt words, number of characters) of each line that has words; addresses are one control character."""
+    if "<" in text:
+        text = _ANCHOR.sub(lambda m: " \x01" + "\x02" * max(0, len(m[0]) - 1) + " ", text)
+    if _MAY_LINK.search(text):
+        text = _URL.sub(lambda m: "\x01" + "\x02" * (len(m[0]) - 1), text)
+    find, out = _WORD.findall, []
     for line in _CUT.split(text):
-        for part in _windows(line) if line else ():
-            words = words_of(part)
-            if words:
-                out.append((words, len(part.strip())))
+        if line:
+            for part in _windows(line):
+                if words := find(part):
+                    out.append((words, len(part.strip())))
     return out
 
 
-def words_of(line: str) -> list[str]:
-    """Words of a line, in classes where the spelling says nothing."""
-    out: list[str] = []
-    for w in _WORD.findall(line):
-        c = w[0]
-        if c.isalpha():
-            if "㐀" <= c <= "鿿":
-                out += [w[i : i + 2] for i in range(len(w) - 1)] or [w]
-            elif "-" in w:
-                out.append("<model>")
-            else:
-                out.append(w.lower())
-        elif c == "\x01":
-            out.append("<url>")
-        elif c == "#":
-            out.append("<number>" if w[1:].isdigit() else "<tag>")
-        elif c == ">":
-            out.append("<crumb>")
-        else:
-            out.append("<number>" if w[-1].isdigit() else "<measure>")
-    return out
+def classes_of(w: str) -> tuple[str, ...]:
+    """What one spelt word stands for: itself in lower case, a class where the spelling says nothing, pairs of characters for Chinese."""
+    c = w[0]
+    if c.isalpha():
+        if "㐀" <= c <= "鿿":
+            return tuple(w[i : i + 2] for i in range(len(w) - 1)) or (w,)
+        return ("<model>",) if "-" in w else (w.lower(),)
+    if c == "\x01":
+        return ("<url>",)
+    if c == "#":
+        return ("<number>",) if w[1:].isdigit() else ("<tag>",)
+    if c == ">":
+        return ("<crumb>",)
+    return ("<number>",) if w[-1].isdigit() else ("<measure>",)
+
+
+def lines_of(text: str) -> list[tuple[list[str], int]]:
+    """(words, number of characters) of each line that has words."""
+    return [([c for w in words for c in classes_of(w)], n) for words, n in raw_lines_of(text)]
 
 
 def repetition(words: list[str]) -> float:
@@ -166,15 +171,28 @@ class Model:
 
     def __init__(self, known: dict[str, int], weights: np.ndarray) -> None:
         self.known, self.weights = known, weights
+        self._seen: dict[str, tuple[int, ...]] = {}
         self.stay, self.move = math.log(STAY), math.log((1 - STAY) / (STATES - 1))
         self.start = [math.log(p) for p in (0.7, 0.1, 0.1, 0.1)]
 
-    def emissions(self, lines: list[list[str]]) -> np.ndarray:
-        get, none = self.known.get, len(self.known)
-        index = np.array([get(w, none) for ws in lines for w in ws])
-        ends = np.cumsum([len(ws) for ws in lines])
-        sums = np.add.reduceat(self.weights[index], np.concatenate(([0], ends[:-1])), axis=0)
-        return TEMPER * sums
+    def indices(self, w: str) -> tuple[int, ...]:
+        """Rows of the weights for one spelt word, kept for the next time."""
+        if len(self._seen) > 500_000:
+            self._seen.clear()
+        none = len(self.known)
+        got = self._seen[w] = tuple(self.known.get(c, none) for c in classes_of(w))
+        return got
+
+    def emissions(self, lines: list[list[str]]) -> tuple[np.ndarray, list[int]]:
+        """(log likelihood of each line under each label, number of words of each line), of spelt words."""
+        seen, index, ends = self._seen, [], []
+        for words in lines:
+            for w in words:
+                got = seen.get(w)
+                index += self.indices(w) if got is None else got
+            ends.append(len(index))
+        starts = [0, *ends[:-1]]
+        return TEMPER * np.add.reduceat(self.weights[index], starts, axis=0), [b - a for a, b in zip(starts, ends)]
 
     def label(self, lines: list[list[str]]) -> np.ndarray:
         """Most likely sequence of labels.
@@ -182,7 +200,7 @@ class Model:
         All changes of label are equally likely, so the best way into a label is to stay, or to come
         from the best label of all.
         """
-        rows = self.emissions(lines).tolist()
+        rows = self.emissions(lines)[0].tolist()
         score = [a + b for a, b in zip(self.start, rows[0])]
         back: list[list[int]] = []
         for e in rows[1:]:
@@ -223,24 +241,24 @@ def _estimate(counts: list[Counter]) -> Model:
 
 def train(texts: list[str]) -> Model | None:
     """Model from the certain lines of a sample, refined by Viterbi training; None without any."""
-    docs = [[w for w, _ in lines_of(t)] for t in texts]
-    docs = [d for d in docs if d]
-    counts: list[Counter] = [Counter() for _ in range(STATES)]
+    raw = [[w for w, _ in raw_lines_of(t)] for t in texts]
+    raw = [d for d in raw if d]
+    docs = [[[c for w in words for c in classes_of(w)] for words in d] for d in raw]
+    seeds: list[Counter] = [Counter() for _ in range(STATES)]
     for d in docs:
         times = Counter(map(tuple, d))
         linked = sum("<url>" in words for words in d) / len(d)
         often = sum(v for v in times.values() if v >= 3) / len(d)
         for words in d:
             if (k := certain_label(words, times[tuple(words)], linked, often, len(d))) is not None:
-                counts[k].update(words)
-    if not any(counts):
+                seeds[k].update(words)
+    if not any(seeds):
         return None
-    seeds = counts
-    model = _estimate(counts)
+    model = _estimate(seeds)
     for _ in range(ROUNDS):
-        counts = [Counter({w: v for w, v in c.items()}) for c in seeds]
-        for d in docs:
-            for words, k in zip(d, model.label(d)):
+        counts = [Counter(c) for c in seeds]
+        for spelt, d in zip(raw, docs):
+            for words, k in zip(d, model.label(spelt)):
                 counts[k].update(words)
         model = _estimate(counts)
     return model
@@ -250,13 +268,13 @@ def share_of(model: Model, text: str | None) -> tuple[float, int]:
     """(part of the text's characters that isn't prose, number of words that aren't)."""
     if not text or not text.strip():
         return 0.0, 0
-    lines = lines_of(text)
+    lines = raw_lines_of(text)
     if not lines:
         return 0.0, 0
     other = model.label([w for w, _ in lines]) != PROSE
     size = np.array([n for _, n in lines], float)
-    words = np.array([len(w) + 3 * w.count("<url>") + w.count("<tag>") for w, _ in lines])
-    return float(size[other].sum() / size.sum()), int(words[other].sum())
+    words = sum(sum(4 if w == "\x01" else 2 if w[0] == "#" else len(classes_of(w)) for w in lines[k][0]) for k in np.flatnonzero(other))
+    return float(size[other].sum() / size.sum()), words
 
 
 def fit(df: DataFrame, key: str, text: str, sample: int = SAMPLE) -> Model | None:
