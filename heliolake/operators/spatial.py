@@ -32,6 +32,7 @@ from pyspark.sql import functions as F
 
 from heliolake.functions import geometry as G
 from heliolake.functions.geometry import EARTH_RADIUS_M
+from heliolake.session import cut
 
 _SPREAD_3 = ((32, 0x1F00000000FFFF), (16, 0x1F0000FF0000FF), (8, 0x100F00F00F00F00F), (4, 0x10C30C30C30C30C3), (2, 0x1249249249249249))
 
@@ -71,7 +72,8 @@ def near_pairs(df: DataFrame, key: str, lon: str, lat: str, distance_m: float) -
     reach = chord_of(distance_m)
     pts = df.select(F.col(key).alias("__id"), F.col(lon).alias("__lon"), F.col(lat).alias("__lat"))
     pts = pts.filter(F.col("__lon").isNotNull() & F.col("__lat").isNotNull() & ~F.isnan("__lon") & ~F.isnan("__lat") & F.col("__id").isNotNull())
-    pts = on_sphere(pts, "__lon", "__lat").select("__id", "__x", "__y", "__z")
+    # both sides of the join read the positions: they are worked out from the geometries once
+    pts = cut(on_sphere(pts, "__lon", "__lat").select("__id", "__x", "__y", "__z"))
     cell = lambda c: F.floor((F.col(c) + F.lit(EARTH_RADIUS_M + side)) / side)
     stored = pts.withColumn("__cell", morton3(cell("__x"), cell("__y"), cell("__z")))
 
@@ -101,7 +103,7 @@ def near_pairs(df: DataFrame, key: str, lon: str, lat: str, distance_m: float) -
 #: Depth of the quadtree; its finest cells are about 0.0003 degrees wide.
 DEPTH = 20
 #: Most cell ranges that one region's cover may have.
-RANGES = 256
+RANGES = 48
 
 
 def morton2(lon: np.ndarray, lat: np.ndarray) -> np.ndarray:

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import atexit
 import tempfile
 import uuid
 
@@ -42,25 +43,39 @@ def shared_dir(spark: SparkSession) -> str:
     return sc._jsc.sc().getCheckpointDir().get()
 
 
+_made: list[tuple[SparkSession, str]] = []
+
+
+def _clean() -> None:
+    """Remove the tables of this process from the shared folder when it ends in order."""
+    for spark, path in _made:
+        try:
+            jvm = spark.sparkContext._jvm
+            p = jvm.org.apache.hadoop.fs.Path(path)
+            p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(p, True)
+        except Exception:  # noqa: BLE001 - the session is gone
+            return
+
+
 def cut(df: DataFrame) -> DataFrame:
-    """Write ``df`` once into the shared folder and go on from the files.
+    """Write ``df`` once as Parquet into the shared folder and go on from the files.
 
     Used where a result is read more than once or a loop would grow the lineage. The files
-    survive the loss of executors; Spark removes them when the frame is no longer referenced
-    if ``spark.cleaner.referenceTracking.cleanCheckpoints`` is set.
+    survive the loss of executors. Unlike an RDD checkpoint, which works out its input a second
+    time, this runs the plan once, adaptively, and later steps read only the columns they need.
     """
-    shared_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
-
-
-def cut_table(df: DataFrame) -> DataFrame:
-    """Like :func:`cut`, as compressed Parquet, for wide rows of which later steps read some columns."""
     spark = df.sparkSession
     path = f"{shared_dir(spark).rstrip('/')}/table-{uuid.uuid4().hex}"
     df.write.parquet(path)
+    if not _made:
+        atexit.register(_clean)
+    _made.append((spark, path))
     return spark.read.schema(df.schema).parquet(path)
 
 
+cut_table = cut
+
+
 def partitions(spark: SparkSession) -> int:
     """The cluster's shuffle width, the only size knob that the operators use."""
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
