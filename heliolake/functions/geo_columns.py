@@ -20,7 +20,11 @@ def decode(column: pa.Array) -> G.RingSet:
 
 
 def measures(geometry: Column, *names: str) -> Column:
-    """Struct of the named measures; a field is null where the geometry has no vertices."""
+    """Struct of the named measures; a field is null where the geometry has no vertices.
+
+    Marked as not deterministic, so that the optimizer never works it out twice, once below a
+    pushed filter and once for the result. Filter by other columns before.
+    """
     chosen = names or MEASURES
 
     @F.arrow_udf(T.StructType([T.StructField(n, T.DoubleType()) for n in chosen]))
@@ -28,7 +32,7 @@ def measures(geometry: Column, *names: str) -> Column:
         m = G.measure(decode(column))
         return pa.StructArray.from_arrays([pa.array(getattr(m, n), mask=~m.has) for n in chosen], names=list(chosen))
 
-    return of(geometry)
+    return of.asNondeterministic()(geometry)
 
 
 def with_position(df: DataFrame, geometry: str, lon: str = "pos_lon", lat: str = "pos_lat") -> DataFrame:
