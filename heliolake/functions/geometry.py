@@ -372,6 +372,16 @@ def filled_edges(r: RingSet) -> Edges:
     return Edges(np.where(right, x1, x2), np.where(right, y1, y2), np.where(right, x2, x1), np.where(right, y2, y1), sign, np.cumsum(count) - count, count)
 
 
+def vertical_edges(r: RingSet) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """(row, x, lower y, upper y) of the vertical edges that :func:`filled_edges` leaves out."""
+    if not len(r.x):
+        z = np.zeros(0)
+        return np.zeros(0, np.int64), z, z, z
+    e = np.flatnonzero((r.ring[1:] == r.ring[:-1]) & (r.x[1:] == r.x[:-1]))
+    e = e[np.isin(r.kinds[r.row[r.ring[e]]], _AREAL)]
+    return r.row[r.ring[e]], r.x[e], np.minimum(r.y[e], r.y[e + 1]), np.maximum(r.y[e], r.y[e + 1])
+
+
 def common_area(a: Edges, b: Edges, ia: np.ndarray, ib: np.ndarray, shift: np.ndarray | None = None, chunk: int = 2_000_000) -> np.ndarray:
     """Area common to rows ``ia`` of ``a`` and ``ib`` of ``b``, pair by pair; b's longitudes are moved by ``shift``.
 

@@ -120,13 +120,15 @@ def morton2(lon: np.ndarray, lat: np.ndarray) -> np.ndarray:
     return part(x) | (part(y) << 1)
 
 
-def cover(e: G.Edges, row: int, box: tuple[float, float, float, float], most: int = RANGES) -> list[tuple[int, int, bool]]:
+def cover(e: G.Edges, vertical: tuple[np.ndarray, ...], row: int, box: tuple[float, float, float, float], most: int = RANGES) -> list[tuple[int, int, bool]]:
     """Code ranges [from, to) that cover a filled area, and whether each lies inside it.
 
-    The largest border cell is divided first, until the number of cells reaches ``most``.
+    ``vertical`` are the edges that ``e`` doesn't hold (:func:`geometry.vertical_edges`). The
+    largest border cell is divided first, until the number of cells reaches ``most``.
     """
     i = slice(e.start[row], e.start[row] + e.count[row])
     xl, yl, xr, yr = e.xl[i], e.yl[i], e.xr[i], e.yr[i]
+    vx, vlow, vhigh = (v[vertical[0] == row] for v in vertical[1:])
 
     def state(x0: float, y0: float, x1: float, y1: float) -> int:
         """0 outside, 1 border, 2 inside; the longitudes of the area may pass 180."""
@@ -142,13 +144,11 @@ def cover(e: G.Edges, row: int, box: tuple[float, float, float, float], most: in
                 right = yl[on] + slope * (np.minimum(xr[on], b) - xl[on])
                 if ((np.maximum(left, right) >= y0) & (np.minimum(left, right) <= y1)).any():
                     return 1
-            # no border but, perhaps, a vertical one: ask the four corners and the middle
-            px, py = np.array([a, b, b, a, (a + b) / 2]), np.array([y0, y0, y1, y1, (y0 + y1) / 2])
-            within = G.points_in(e, np.full(5, row), px, py)
-            if within.all():
-                worst = 2
-            elif within.any():
+            if ((vx >= a) & (vx <= b) & (vhigh >= y0) & (vlow <= y1)).any():
                 return 1
+            # no edge meets the cell, so it is inside or outside as a whole
+            if G.points_in(e, np.array([row]), np.array([(a + b) / 2]), np.array([(y0 + y1) / 2]))[0]:
+                worst = 2
         return worst
 
     cells = [(0, 0, 0)]  # depth, x, y
@@ -189,12 +189,12 @@ def containing_regions(points: DataFrame, key: str, lon: str, lat: str, regions:
     rows = regions.select(region_key, geometry).collect()
     blobs = [r[1] for r in rows]
     rings = G.decode_wkb(blobs) if dict(regions.dtypes)[geometry] == "binary" else G.decode_wkt(blobs)
-    m, e = G.measure(rings), G.filled_edges(rings)
+    m, e, vertical = G.measure(rings), G.filled_edges(rings), G.vertical_edges(rings)
     # overlapping covers (a country and its parts) are flattened by listing each region's ranges apart
     covers = []
     for i in range(len(rows)):
         if m.has[i] and e.count[i]:
-            c = cover(e, i, (m.xmin[i], m.ymin[i], m.xmax[i], m.ymax[i]))
+            c = cover(e, vertical, i, (m.xmin[i], m.ymin[i], m.xmax[i], m.ymax[i]))
             covers.append((i, np.array([a for a, _, _ in c], np.int64), np.array([b for _, b, _ in c], np.int64), np.array([k for _, _, k in c], bool)))
     names = [r[0] for r in rows]
     schema = f"{key} {dict(points.dtypes)[key]}, {region_key} {dict(regions.dtypes)[region_key]}"

@@ -176,6 +176,22 @@ def test_regions(spark):
     assert spatial.containing_regions(df, "row_id", "lon", "lat", regions.limit(0), "division_id", "geometry").count() == 0
 
 
+def test_narrow_and_tall_regions(spark):
+    # between the corners and middles of the cells that they cross; one ends at the 180th meridian
+    boxes = {"narrow": (10.1, -60.3, 10.2, 70.7), "edge": (179.5, -20.0, 180.0, -14.2), "thin": (-0.001, -89.0, 0.001, 89.0)}
+    wkt = {n: f"POLYGON (({a} {b},{c} {b},{c} {d},{a} {d},{a} {b}))" for n, (a, b, c, d) in boxes.items()}
+    wkt["holed"] = "POLYGON ((-120 -40,-60 -40,-60 40,-120 40,-120 -40),(-90.1 -39,-90.05 -39,-90.05 39,-90.1 39,-90.1 -39))"
+    regions = spark.createDataFrame(list(wkt.items()), "division_id string, geometry string")
+    random.seed(4)
+    pts = [(random.uniform(a - 0.05, min(c + 0.05, 179.9999)), random.uniform(b - 1, d + 1)) for a, b, c, d in boxes.values() for _ in range(400)]
+    pts += [(random.uniform(-90.2, -89.95), random.uniform(-41, 41)) for _ in range(400)]
+    df = spark.createDataFrame([(k, x, y) for k, (x, y) in enumerate(pts)], "row_id long, lon double, lat double")
+    got = {(r.row_id, r.division_id) for r in spatial.containing_regions(df, "row_id", "lon", "lat", regions, "division_id", "geometry").collect()}
+    want = {(k, n) for k, (x, y) in enumerate(pts) for n, (a, b, c, d) in boxes.items() if a <= x < c and b <= y < d}
+    want |= {(k, "holed") for k, (x, y) in enumerate(pts) if -120 <= x < -60 and -40 <= y < 40 and not (-90.1 <= x < -90.05 and -39 <= y < 39)}
+    assert got == want
+
+
 # --- drift ---------------------------------------------------------------------------------
 
 
