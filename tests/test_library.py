@@ -16,6 +16,7 @@ from heliolake.operators import expectations as X
 from heliolake.operators import products as P
 from heliolake.operators import relational as R
 from heliolake.plans import lakehouse as L
+from heliolake.plans import twins
 from heliolake.plans.pipeline import Pipeline, load_config, merged
 from heliolake.sources import files, sinks
 from heliolake.streaming import incremental
@@ -35,6 +36,14 @@ def test_not_in_follows_sql(spark):
     assert R.not_in(df, some.limit(0), "k").count() == 3
 
 
+def test_country_stats_count_all_customers(spark, tmp_path):
+    spark.createDataFrame([(k, f"N{k}") for k in range(5)], "n_nationkey int, n_name string").write.parquet(str(tmp_path / "nation.parquet"))
+    spark.createDataFrame([(0, 1.0), (0, 3.0), (1, -2.5), (3, 7.0)], "c_nationkey int, c_acctbal double").write.parquet(str(tmp_path / "customer.parquet"))
+    got = {r.n_nationkey: tuple(r)[2:] for r in twins.country_stats_zero_fill(spark, str(tmp_path)).collect()}
+    none = (0, 0.0, 0.0, 0.0, 0.0, "No PV")
+    assert got == {0: (2, 4.0, 2.0, 1.0, 3.0, "Low PV"), 1: (1, -2.5, -2.5, -2.5, -2.5, "Low PV"), 2: none, 3: (1, 7.0, 7.0, 7.0, 7.0, "Low PV"), 4: none}
+
+
 def test_boxes_join_equals_brute_force(spark):
     pts = [(k, (k * 37) % 101 - 50.0, (k * 53) % 83 - 40.0) for k in range(300)] + [(900, None, 1.0)]
     boxes = [(k, x, y, x + w, y + w) for k, (x, y, w) in enumerate([(-50.0, -40.0, 30.0), (0.0, 0.0, 0.0), (5.0, 5.0, 7.5), (-10.0, -10.0, 90.0)])]
