@@ -115,7 +115,7 @@ def normalise(df: DataFrame, value: str, zone: Column, date_order: Column) -> Da
     are reserved.
     """
     work = df.withColumns({"__v": tidy(F.col(f"`{value}`")), "__zone": zone, "__order": date_order})
-    work = work.withColumn("__mask", F.when(F.length("__v") <= 64, shape_mask(F.col("__v"))))
+    work = work.withColumn("__mask", shape_mask(F.col("__v")))
     parsers = work.select(F.col("__mask").alias("mask")).filter("mask IS NOT NULL").distinct().mapInPandas(_parsers, _SCHEMA)
     p = parsers.select(F.col("mask").alias("__mask"), F.struct(*[c for c in parsers.columns if c != "mask"]).alias("__p"))
     work = work.drop("__p").join(F.broadcast(p), "__mask", "left")

@@ -135,6 +135,12 @@ def test_daylight_saving(spark):
     assert normalised(spark, []) == []
 
 
+def test_long_values(spark):
+    # names of regions have no greatest length, so neither have values
+    got = normalised(spark, ["Wednesday, 23 September 2020, 11:45:00.123456 -07:00[America/Los_Angeles]", "Wednesday, 23 September 2020, 11:45:00.123456789 -03:00 [America/Argentina/ComodRivadavia]", "Wednesday, 23 September 2020, 11:45:00 " + "x" * 100])
+    assert got == [(datetime(2020, 9, 23, 18, 45, 0, 123456), None, "instant"), (datetime(2020, 9, 23, 14, 45, 0, 123456), None, "instant"), (None, None, "none")]
+
+
 # --- near pairs and regions ----------------------------------------------------------------
 
 
