@@ -152,7 +152,8 @@ def groups_of_links(links: DataFrame, most_rounds: int = 60) -> DataFrame:
 
     Large-star links each node's larger neighbours to its smallest one, small-star its smaller
     ones; both keep what is connected and shorten every path. The links are written between
-    rounds, and the loop ends when a round changes nothing.
+    rounds, and the loop ends when a round changes nothing; links that haven't settled after
+    ``most_rounds`` are an error, as their groups would come out split.
     """
 
     def star(e: DataFrame, large: bool) -> DataFrame:
@@ -177,6 +178,8 @@ def groups_of_links(links: DataFrame, most_rounds: int = 60) -> DataFrame:
         if now[0] == now[2] and now == state:  # every node has one link, to its root
             break
         state = now
+    else:
+        raise RuntimeError(f"links of groups have not settled after {most_rounds} rounds")
     return e.select(F.col("a").alias("node"), F.col("b").alias("root")).unionByName(e.select(F.col("b").alias("node"), F.col("b").alias("root")).distinct())
 
 

@@ -227,6 +227,12 @@ def test_components_of_a_long_path(spark):
     assert all(got[i] == 0 for i in ids) and got[500] == got[501] == 500
 
 
+def test_groups_that_do_not_settle_are_an_error(spark):
+    links = spark.createDataFrame([(k, k + 1) for k in range(100)], "a long, b long")
+    with pytest.raises(RuntimeError, match="settled"):
+        survivors.groups_of_links(links, most_rounds=1)
+
+
 def test_surviving_values(spark):
     t = lambda d: datetime(2024, 1, d)
     rows = [
