@@ -243,13 +243,24 @@ def grid_left_fill(spark: SparkSession, sf: str) -> DataFrame:
     return grid.join(p, ["gx", "gy"], "left").na.fill(0, ["n", "area"])
 
 
+def positional_contexts(c: DataFrame) -> list[DataFrame]:
+    """Two context tables with a row for every customer; some values are null, as the SQL has no row there."""
+    k = F.col("c_custkey")
+    site, cover = F.concat(F.lit("site"), (k % 7).cast("string")), F.concat(F.lit("cover"), (k % 5).cast("string"))
+    return [c.select(k, F.when(k % 2 == 0, site).alias("site")), c.select(k, F.when(k % 3 == 0, cover).alias("cover"))]
+
+
+def joined_contexts(rows: DataFrame, key: str, contexts: list[DataFrame]) -> DataFrame:
+    """Rows with the columns of each context table, by key; null where it has no such key."""
+    for context in contexts:
+        rows = rows.join(context, key, "left")
+    return rows
+
+
 @twin("""SELECT c.c_custkey, a.site, b.cover FROM customer c LEFT JOIN (SELECT c_custkey, 'site' || CAST(c_custkey % 7 AS VARCHAR) AS site FROM customer WHERE c_custkey % 2 = 0) a USING (c_custkey) LEFT JOIN (SELECT c_custkey, 'cover' || CAST(c_custkey % 5 AS VARCHAR) AS cover FROM customer WHERE c_custkey % 3 = 0) b USING (c_custkey)""")
 def positional_to_key_join(spark: SparkSession, sf: str) -> DataFrame:
     c = table(spark, sf, "customer", "c_custkey")
-    k = F.col("c_custkey")
-    a = c.filter(k % 2 == 0).select(k, F.concat(F.lit("site"), (k % 7).cast("string")).alias("site"))
-    b = c.filter(k % 3 == 0).select(k, F.concat(F.lit("cover"), (k % 5).cast("string")).alias("cover"))
-    return c.join(a, "c_custkey", "left").join(b, "c_custkey", "left")
+    return joined_contexts(c, "c_custkey", positional_contexts(c))
 
 
 # --- spatial operators in closed form ------------------------------------------------------

@@ -44,6 +44,17 @@ def test_country_stats_count_all_customers(spark, tmp_path):
     assert got == {0: (2, 4.0, 2.0, 1.0, 3.0, "Low PV"), 1: (1, -2.5, -2.5, -2.5, -2.5, "Low PV"), 2: none, 3: (1, 7.0, 7.0, 7.0, 7.0, "Low PV"), 4: none}
 
 
+def test_positional_contexts_hold_every_row(spark):
+    c = spark.range(1, 31).withColumnRenamed("id", "c_custkey")
+    contexts = twins.positional_contexts(c)
+    assert [t.count() for t in contexts] == [30, 30]
+    got = {r.c_custkey: (r.site, r.cover) for r in twins.joined_contexts(c, "c_custkey", contexts).collect()}
+    assert got == {k: (f"site{k % 7}" if k % 2 == 0 else None, f"cover{k % 5}" if k % 3 == 0 else None) for k in range(1, 31)}
+    # keys that a context table doesn't have keep their row
+    part = contexts[0].filter("c_custkey <= 10")
+    assert {r.c_custkey: r.site for r in twins.joined_contexts(c, "c_custkey", [part]).collect()} == {k: got[k][0] if k <= 10 else None for k in range(1, 31)}
+
+
 def test_boxes_join_equals_brute_force(spark):
     pts = [(k, (k * 37) % 101 - 50.0, (k * 53) % 83 - 40.0) for k in range(300)] + [(900, None, 1.0)]
     boxes = [(k, x, y, x + w, y + w) for k, (x, y, w) in enumerate([(-50.0, -40.0, 30.0), (0.0, 0.0, 0.0), (5.0, 5.0, 7.5), (-10.0, -10.0, 90.0)])]
