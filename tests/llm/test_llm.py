@@ -227,6 +227,40 @@ def test_components_of_a_long_path(spark):
     assert all(got[i] == 0 for i in ids) and got[500] == got[501] == 500
 
 
+def test_only_open_containers_go_up(spark, monkeypatch):
+    merge = packing._merge
+
+    def watched(capacity, last):
+        inner = merge(capacity, last)
+
+        def run(pdf):
+            assert not pdf["final"].any()
+            return inner(pdf)
+
+        return run
+
+    monkeypatch.setattr(packing, "_merge", watched)
+    random.seed(8)
+    sizes = [random.choice([50, 70]) for _ in range(2000)]  # a partition has one half-full container or none; two of them are full
+    width = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", 20)
+    try:
+        got = packing.pack(spark.createDataFrame(list(enumerate(sizes)), "doc_id long, n int"), "doc_id", "n", 100).collect()
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", width)
+    assert sorted(r.doc_id for r in got) == list(range(2000))
+    places = {}
+    for r in got:
+        places.setdefault(r.container, []).append((r.offset, r.size))
+    for p in places.values():
+        ends = 0
+        for offset, size in sorted(p):
+            assert offset == ends
+            ends += size
+        assert ends <= 100
+    assert len(places) == packing.best_fit(np.array(sizes), 100)[2].size
+
+
 def test_groups_that_do_not_settle_are_an_error(spark):
     links = spark.createDataFrame([(k, k + 1) for k in range(100)], "a long, b long")
     with pytest.raises(RuntimeError, match="settled"):
