@@ -1,7 +1,8 @@
 """Problem 7: token ids of every text by a public byte-level BPE, as a streaming transducer.
 
-A text is fed in chunks; ids are emitted once no later input can change them, so memory
-depends on the chunk and not on the text.
+A text of more than ``CHUNK`` characters is fed in chunks; ids are emitted once no later input
+can change them. Shorter texts are encoded whole by the library, but for long runs. A single run
+that no boundary ends is held whole, so memory depends on the chunk or on the longest run.
 
 * Pretokens. The end of a letter run is a boundary whatever follows, so everything up to the
   last such place in the buffer is final and is encoded at native speed. In a buffer without
