@@ -340,16 +340,45 @@ def test_pages_held_out(spark):
     assert spam.page_shares(df.limit(0), "doc_id", "text").count() == 0
 
 
-def test_model_fitted_on_one_half_holds_for_the_other():
+def test_model_fitted_on_one_half_holds_for_the_other(spark, tmp_path):
     rows = pages()
     model = spam.train([t for k, t, _ in rows if k % 2])
     held = [(k, t, s) for k, t, s in rows if k % 2 == 0]
-    right = sum((spam.share_of(model, t)[0] >= spam.SHARE) == s for _, t, s in held)
-    assert right >= 0.98 * len(held)
+    found = spam.shares_of(model, [t for _, t, _ in held])
+    assert sum((f >= spam.SHARE) == s for (f, _), (_, _, s) in zip(found, held)) >= 0.98 * len(held)
+    assert np.exp(model.move).sum(1) == pytest.approx(np.ones(4)) and np.argmax(model.start) == spam.PROSE
+    spam.save_model(spark, model, str(tmp_path / "model"))
+    again = spam.load_model(spark, str(tmp_path / "model"))
+    assert spam.shares_of(again, [t for _, t, _ in held]) == found
+    df = spark.createDataFrame([(k, t) for k, t, _ in held], "doc_id long, text string")
+    assert spam.page_shares(df, "doc_id", "text", model=again).filter("is_spam").count() == sum(f >= spam.SHARE for f, _ in found)
     assert spam.train([]) is None and spam.train(["ok", ""]) is None
 
 
+def test_short_remarks_need_no_least_length():
+    model = spam.train([t for _, t, _ in pages()])
+    remarks = ["ok", "ok\ntab\there\t\tthere", "https://a1.example/p/7 explains it better than I can.", "+1\nSELECT count(*) FROM t WHERE a >= 1e-3;", "[UNK] <s> </s> <pad>", "Nobody had seen the report."]
+    assert [f < spam.SHARE for f, _ in spam.shares_of(model, remarks)] == [True] * len(remarks)
+    assert spam.shares_of(model, [" | ".join(PHRASES), "a1 [dot] example [dot] com/x\n" * 6])[0][0] == 1.0
+
+
+@settings(max_examples=40, deadline=None)
+@given(hs.lists(hs.integers(1, 5), min_size=1, max_size=5), hs.integers(0, 9))
+def test_labels_of_many_documents_against_all_paths(counts, seed):
+    from itertools import product
+
+    r = np.random.default_rng(seed)
+    rows, start, move = r.normal(size=(sum(counts), 4)), r.normal(size=4), r.normal(size=(4, 4))
+    got, at = spam.viterbi(rows, np.array(counts), start, move), 0
+    for n in counts:
+        e = rows[at : at + n]
+        score = lambda p: start[p[0]] + sum(e[k, p[k]] for k in range(n)) + sum(move[p[k - 1], p[k]] for k in range(1, n))  # noqa: B023, E731
+        assert tuple(got[at : at + n]) == max(product(range(4), repeat=n), key=score)
+        at += n
+
+
 def test_lines_cover_the_text():
     text = "One two three. " + "word " * 500 + "\n" + "光伏" * 700
-    lines = spam.lines_of(text)
-    assert max(len(w) for w, _ in lines) <= 330 and sum(n for _, n in lines) >= 0.95 * len(text.replace(" ", ""))
+    lines = spam.Reader(lambda c: 0).lines(text)
+    assert max(len(w) for w, _, _ in lines) <= 330 and sum(n for _, n, _ in lines) >= 0.95 * len(text.replace(" ", ""))
+    assert spam.Reader(lambda c: 0).lines("") == [] and spam.Reader(lambda c: 0).lines(" \x01 \x02 ?") == []
