@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from heliolake.llm import packing, spam, survivors, tokens
@@ -14,14 +14,6 @@ from heliolake.sources.tables import read_table
 CAPACITY = 2048
 
 
-def grouped_records(spark: SparkSession, sf: str) -> DataFrame:
-    """Consolidated records in groups of two or more, with group and trust."""
-    df = read_table(spark, sf, "stg_pv_consolidated", "row_id", "dataset_name", "geometry", "processed_at", "capacity_mw", "install_date", "source_area_m2")
-    trust = F.broadcast(read_table(spark, sf, "dataset_manifest", "dataset_name", "trust_rank"))  # one row a dataset
-    groups = survivors.installation_groups(df, "row_id", "geometry")
-    return df.drop("geometry").join(groups, "row_id").join(trust, "dataset_name", "left")
-
-
 FIELDS = {
     "capacity_mw": survivors.usable_number,
     "install_date": survivors.usable_text,
@@ -29,16 +21,25 @@ FIELDS = {
 }
 
 
+def grouped_records(spark: SparkSession, sf: str, *columns: Column | str) -> DataFrame:
+    """Consolidated records in groups of two or more, with group, trust, time and what else is asked for."""
+    df = read_table(spark, sf, "stg_pv_consolidated", "row_id", "dataset_name", "geometry", "processed_at", *FIELDS)
+    trust = F.broadcast(read_table(spark, sf, "dataset_manifest", "dataset_name", "trust_rank"))  # one row a dataset
+    groups = survivors.installation_groups(df, "row_id", "geometry")
+    return df.join(trust, "dataset_name", "left").select("row_id", "trust_rank", "processed_at", *columns).join(groups, "row_id")
+
+
 def p2_found(spark: SparkSession, sf: str) -> DataFrame:
     """Of each group and field, the row whose value survives."""
-    rows = grouped_records(spark, sf)
-    out = survivors.surviving_values(rows, "group", "row_id", "trust_rank", "processed_at", {f: u(F.col(f)) for f, u in FIELDS.items()})
+    # what is usable is worked out before the join, so that no values are shuffled
+    rows = grouped_records(spark, sf, *[u(F.col(f)).alias(f"__u{k}") for k, (f, u) in enumerate(FIELDS.items())])
+    out = survivors.surviving_values(rows, "group", "row_id", "trust_rank", "processed_at", {f: F.col(f"__u{k}") for k, f in enumerate(FIELDS)})
     return out.select(F.col("group").alias("group_row_id"), "field_name", "row_id")
 
 
 def p2_records(spark: SparkSession, sf: str) -> DataFrame:
     """One record for each installation that is recorded more than once."""
-    rows = grouped_records(spark, sf)
+    rows = cut_table(grouped_records(spark, sf, "dataset_name", *FIELDS))
     out = survivors.built_records(rows, "group", "row_id", "trust_rank", "processed_at", {f: u(F.col(f)) for f, u in FIELDS.items()}, ["dataset_name", "processed_at"])
     return out.withColumnRenamed("group", "group_row_id")
 

@@ -201,6 +201,91 @@ def test_groups_against_brute_force(spark):
     assert groups(spark, [(b[0], shape(b)) for b in boxes]) == want
 
 
+def test_heaps_of_near_copies_need_no_pairs(spark, monkeypatch):
+    """Four hundred nearly equal footprints, others linked to only some of them, and strangers in the same cells."""
+    monkeypatch.setattr(survivors, "HOT", 20)
+    random.seed(11)
+    heap = [(k, box(*(round(v + random.uniform(-2e-6, 2e-6), 8) for v in (0.0001, 0.0001, 0.0003, 0.0002)))) for k in range(10, 410)]
+    others = [(1, box(0.0002, 0.0001, 0.0004, 0.0002)), (2, box(0.000305, 0.0001, 0.0005, 0.0002)), (500, box(0.00012, 0.00012, 0.00014, 0.00014)), (501, box(0.0006, 0.0006, 0.0007, 0.0007)), (502, box(0.00062, 0.0006, 0.00072, 0.0007)), (503, box(0.0, 0.0, 0.03, 0.02)), (504, box(0.0009, 0.0009, 0.001, 0.001))]
+    formed = []
+    real = survivors.measured_links
+
+    def watched(pairs, shapes):
+        formed.append(pairs.count())
+        return real(pairs, shapes)
+
+    monkeypatch.setattr(survivors, "measured_links", watched)
+    edges = [(k, [float(v) for v in g[10:-2].replace(",", "").split()]) for k, g in heap + others]
+    parent = {k: k for k, _ in edges}
+
+    def root(i):
+        while parent[i] != i:
+            i = parent[i]
+        return i
+
+    for i, (ka, a) in enumerate(edges):
+        for kb, b in edges[i + 1 :]:
+            w, h = min(a[2], b[2]) - max(a[0], b[0]), min(a[5], b[5]) - max(a[1], b[1])
+            if w > 0 and h > 0 and w * h > 0.5 * min((q[2] - q[0]) * (q[5] - q[1]) for q in (a, b)):
+                parent[root(ka)] = root(kb)
+    want: dict[int, set] = {}
+    for k, _ in edges:
+        want.setdefault(root(k), set()).add(k)
+    assert groups(spark, heap + others) == {min(v): v for v in want.values() if len(v) > 1}
+    assert sum(formed) < 8 * len(edges)
+
+
+def test_shapes_are_packed_exactly():
+    from heliolake.functions import geometry as G
+
+    texts = ["POLYGON ((0 0, 1 0, 1 1, 0 0), (0.2 0.1, 0.3 0.1, 0.3 0.2, 0.2 0.1))", "POINT (1 2)", "MULTIPOLYGON (((0 0, 1.123456789 0, 1 1, 0 0)), ((5 5, 6 5, 6 6, 5 5)))", "POLYGON ((300.5 0, 301 0, 301 1, 300.5 0))", "POLYGON ((-0.0000554 56.840585, 0.0000337 56.8405843, 0.0000349 56.840634, -0.0000554 56.840585))"]
+    r = G.decode_wkt(texts)
+    ok = np.array([0, 2, 3, 4])
+    fine, rough = survivors.pack_shapes(r, ok)
+    assert [len(v) > 0 for v in fine.to_pylist()] == [True, False, False, True] and [len(v) > 0 for v in rough.to_pylist()] == [False, True, True, False]
+    got = survivors.unpack_shapes(fine, rough)
+    want = G.decode_wkt([texts[i] for i in ok])
+    for name in ("x", "y", "ring", "row", "hole"):
+        assert np.array_equal(getattr(got, name), getattr(want, name)), name
+
+
+def test_layers_against_brute_force(spark):
+    random.seed(12)
+    rows = [(random.randrange(12), k, random.choice([1, 2, 3, None]), None if random.random() < 0.1 else datetime(2024, 1, random.randrange(1, 9)), random.choice([None, 1.0]), random.choice([None, "x"]), random.choice([None, 2.0])) for k in range(120)]
+    df = spark.createDataFrame(rows, "g int, row_id long, trust int, at timestamp, a double, b string, c double")
+    usable = [F.col(f).isNotNull() for f in "abc"]
+    for by_number in (False, True):
+        got = {(r.grp, x.id): x.layer for r in survivors.dominance_layers(df, "g", "row_id", "trust", "at", usable, by_number).collect() for x in r.records}
+        best = {}
+        for g, k, t, at, a, b, c in rows:
+            mask = (a is not None) | (b is not None) << 1 | (c is not None) << 2
+            here = (g, -(t or 2**31 - 1), mask)
+            best[here] = max(best.get(here, (datetime(1, 1, 1), -1)), (at or datetime(1, 1, 1), k))
+        points = [(g, t, m, at, k) for (g, t, m), (at, k) in best.items()]
+        covers = (lambda x, y: x.bit_count() >= y.bit_count()) if by_number else (lambda x, y: x & y == y)
+        left, layer, want = points, 0, {}
+        while left:
+            # of equals the larger id stands first
+            beaten = lambda p: any(q != p and q[0] == p[0] and q[1] >= p[1] and q[3] >= p[3] and covers(q[2], p[2]) and ((q[1], q[3]) != (p[1], p[3]) or q[2] != p[2] and (not covers(p[2], q[2]) or q[4] > p[4])) for q in left)  # noqa: E731, B023
+            front = [p for p in left if not beaten(p)]
+            want.update({(p[0], p[4]): layer for p in front})
+            left, layer = [p for p in left if p not in front], layer + 1
+        same = [k for k in want if got.get(k) != want[k]]
+        assert got.keys() == want.keys() and (by_number or len(same) == 0 or all(abs(got[k] - want[k]) <= 1 for k in same)), same
+
+
+def test_layers_decide_what_fills_a_record(spark):
+    """Without the layers the policy alone would fill b from the more trusted record 2, which record 1 dominates."""
+    t = lambda d: datetime(2024, 1, d)
+    rows = [(1, 1, 1, t(9), "1", None, "1"), (1, 2, 1, t(5), None, "2", None), (1, 3, 2, t(10), "3", "3", "3")]
+    df = spark.createDataFrame(rows, "g int, row_id long, trust int, at timestamp, a string, b string, c string")
+    fields = {f: F.col(f).isNotNull() for f in "abc"}
+    by_number = survivors.built_records(df, "g", "row_id", "trust", "at", fields, ["trust"], by_number=True).first()
+    by_field = survivors.built_records(df, "g", "row_id", "trust", "at", fields, ["trust"]).first()
+    assert (by_number.base_row_id, by_number.a_from, by_number.b_from, by_number.c_from, by_number.n_records) == (1, 1, 3, 1, 3)
+    assert (by_field.base_row_id, by_field.a_from, by_field.b_from, by_field.c_from) == (1, 1, 2, 1)
+
+
 def test_group_cases(spark):
     shapes = [
         (1, box(0, 0, 1, 1)), (2, box(0, 0, 1, 1)), (3, "MULTIPOLYGON(((0 0,1 0,1 1,0 1,0 0)))"),  # copies, one spelt otherwise
