@@ -1,14 +1,18 @@
 """Zone transition tables: when each zone's offset changes, from the installed zone database.
 
-A table is built once per zone and worker and searched for whole batches. ``VERSION`` names
-the release of the database that the tables come from, so that a result can state it.
+A zone's table is read once per worker from the database's own file, from its first transition
+(local mean time before that) to the last one that is listed, and from there to ``LAST_YEAR`` by the
+rule that the file closes with. It is searched for whole batches. ``VERSION`` names the release
+of the database that the tables come from, so that a result can state it.
 """
 
 from __future__ import annotations
 
 import re
+import struct
 from datetime import datetime, timedelta, timezone
 from functools import lru_cache
+from importlib import resources
 from pathlib import Path
 from zoneinfo import TZPATH, ZoneInfo, ZoneInfoNotFoundError
 
@@ -18,8 +22,8 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-#: Years that the tables cover; before and after, the nearest offset holds.
-YEARS = (1970, 2101)
+#: Year up to which a file's closing rule is followed; later, the last offset holds.
+LAST_YEAR = 2101
 _STEP_S = 7 * 86_400
 
 
@@ -42,6 +46,42 @@ def database_version() -> str:
 VERSION = database_version()
 
 
+def _file_of(zone: str) -> bytes | None:
+    """The database's file of a zone, from the system or the installed package."""
+    for folder in TZPATH:
+        p = Path(folder, zone)
+        if p.is_file():
+            return p.read_bytes()
+    try:
+        return resources.files("tzdata.zoneinfo").joinpath(*zone.split("/")).read_bytes()
+    except (ModuleNotFoundError, OSError):
+        return None
+
+
+def listed(data: bytes) -> tuple[list[int], list[tuple[int, str]]]:
+    """(seconds of the listed transitions, (offset, abbreviation) before the first and from each on) of a TZif file (RFC 8536)."""
+
+    def block(at: int, width: int) -> tuple[int, list[int], list[tuple[int, str]]]:
+        utc, std, _, times, types, chars = struct.unpack_from(">6I", data, at + 20)
+        leap = struct.unpack_from(">I", data, at + 28)[0]
+        at += 44
+        moments = list(struct.unpack_from(f">{times}{'q' if width == 8 else 'i'}", data, at))
+        at += times * width
+        kinds = data[at : at + times]
+        at += times
+        names = data[at + 6 * types : at + 6 * types + chars]
+        found = []
+        for k in range(types):
+            offset, _, first = struct.unpack_from(">iBB", data, at + 6 * k)
+            found.append((offset, names[first : names.index(0, first)].decode("ascii")))
+        return at + 6 * types + chars + leap * (width + 4) + std + utc, moments, [found[0], *(found[k] for k in kinds)]
+
+    end, *rest = block(0, 4)
+    if data[4:5] >= b"2":
+        _, *rest = block(end, 8)
+    return rest[0], rest[1]
+
+
 @lru_cache(maxsize=700)
 def transitions(zone: str) -> tuple[np.ndarray, np.ndarray, dict[str, int]] | None:
     """(local second from which each offset holds, offsets in seconds, offset of each abbreviation), or None for an unknown zone.
@@ -54,19 +94,22 @@ def transitions(zone: str) -> tuple[np.ndarray, np.ndarray, dict[str, int]] | No
         return None
     try:
         z = ZoneInfo(zone)
+        data = _file_of(zone)
     except (ZoneInfoNotFoundError, ValueError, OSError):
         return None
+    if not data or data[:4] != b"TZif":
+        return None
+    moments, states = listed(data)
     epoch = datetime(1970, 1, 1, tzinfo=timezone.utc)
 
     def at(second: int) -> tuple[int, str]:
         d = (epoch + timedelta(seconds=second)).astimezone(z)
         return int(d.utcoffset().total_seconds()), d.tzname() or ""
 
-    lo = int((datetime(YEARS[0], 1, 1, tzinfo=timezone.utc) - epoch).total_seconds())
-    hi = int((datetime(YEARS[1], 1, 1, tzinfo=timezone.utc) - epoch).total_seconds())
-    now = at(lo)
-    starts, offsets, names = [-(2**62)], [now[0]], {now[1].upper(): now[0]}
-    for second in range(lo + _STEP_S, hi, _STEP_S):
+    # beyond the listed transitions the zone goes by its closing rule
+    now, second = states[-1], max(moments[-1] if moments else 0, 0)
+    hi = int((datetime(LAST_YEAR, 1, 1, tzinfo=timezone.utc) - epoch).total_seconds())
+    for second in range(second + _STEP_S, hi, _STEP_S):
         later = at(second)
         if later == now:
             continue
@@ -74,10 +117,14 @@ def transitions(zone: str) -> tuple[np.ndarray, np.ndarray, dict[str, int]] | No
         while b - a > 1:
             mid = (a + b) // 2
             a, b = (mid, b) if at(mid) == now else (a, mid)
-        starts.append(b + max(now[0], later[0]))
-        offsets.append(later[0])
-        names[later[1].upper()] = later[0]
+        moments.append(b)
+        states.append(later)
         now = later
+    starts, offsets, names = [-(2**62)], [states[0][0]], {states[0][1].upper(): states[0][0]}
+    for moment, before, after in zip(moments, states, states[1:]):
+        starts.append(moment + max(before[0], after[0]))
+        offsets.append(after[0])
+        names[after[1].upper()] = after[0]
     return np.array(starts, np.int64), np.array(offsets, np.int64), names
 
 

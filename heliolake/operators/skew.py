@@ -7,8 +7,9 @@ Positions within each key, in a total order, without a task that holds a whole h
 2. Heavy hitters come from a frequent-items sketch over all rows (bounded memory, no row is
    left out; its error only decides which path a key takes, never a result).
 3. Heavy keys: the number of rows in every slice, summed along the slices, gives each slice its
-   first position. These offsets, at most ``1 / share`` keys times the number of slices, are
-   broadcast, and rows are numbered within (key, slice), which no hot key can overfill.
+   first position. The heavy keys are counted: while they and the offsets (keys times slices) are
+   at most ``BROADCAST_ROWS`` they are broadcast, beyond that shuffled. Rows are numbered within
+   (key, slice), which no hot key can overfill.
 4. All other keys are numbered by an ordinary shuffle on the key, and both parts are united.
 
 Defined results: rows whose key is null have no position; null order values come first; rows
@@ -26,6 +27,8 @@ from heliolake.session import cut, partitions
 SHARE = 1 / 256
 #: Items that the sketch tracks; its error is about 3.5 / TRACKED of all rows.
 TRACKED = 8192
+#: Most rows of heavy keys, and of offsets, that are broadcast.
+BROADCAST_ROWS = 500_000
 
 
 def heavy_keys(df: DataFrame, key: str, share: float = SHARE, by: list[str] | None = None) -> DataFrame:
@@ -53,8 +56,9 @@ def positions(df: DataFrame, key: str, order: list[str], by: list[str] | None =
     rows = cut(rows.repartitionByRange(slices, *[F.col(c).asc_nulls_first() for c in order]).withColumn("__slice", F.spark_partition_id()))
     ordered = [F.col(c).asc_nulls_first() for c in order]
 
-    heavy = cut(heavy_keys(rows, key, share, by))  # at most 1 / share rows
-    marked = F.broadcast(heavy)
+    heavy = cut(heavy_keys(rows, key, share, by))
+    n_heavy = heavy.count()  # with many values of ``by`` there may be many
+    marked = F.broadcast(heavy) if n_heavy <= BROADCAST_ROWS else heavy
     is_heavy = [rows[c].eqNullSafe(marked[c]) for c in keys]
     hot = rows.join(marked, keys, "left_semi") if not by else rows.join(marked, is_heavy, "left_semi")
     cold = rows.join(marked, keys, "left_anti") if not by else rows.join(marked, is_heavy, "left_anti")
@@ -62,8 +66,8 @@ def positions(df: DataFrame, key: str, order: list[str], by: list[str] | None =
     per_slice = hot.groupBy(*keys, "__slice").agg(F.count("*").alias("__c"))
     before = Window.partitionBy(*keys).orderBy("__slice").rowsBetween(Window.unboundedPreceding, -1)
     offsets = per_slice.select(*keys, "__slice", F.coalesce(F.sum("__c").over(before), F.lit(0)).alias("__before"))
-    # small enough to broadcast by its bound; beyond that the join shuffles by (key, slice), which is even
-    small = len(keys) * slices / share <= 500_000
+    # beyond the bound the join shuffles by (key, slice), which is even
+    small = n_heavy * slices <= BROADCAST_ROWS
     hot = hot.join(F.broadcast(offsets) if small else offsets, [*keys, "__slice"])
     hot = hot.withColumn(out, F.col("__before") + F.row_number().over(Window.partitionBy(*keys, "__slice").orderBy(*ordered))).drop("__before")
 

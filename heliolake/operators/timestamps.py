@@ -3,7 +3,8 @@
 Each value's shape mask replaces every digit by 9 and every letter by a. The distinct masks
 are few; each is mapped once to a parser: the places of year, month, day, time and zone in
 values of that shape. Masks that fit no grammar have no parser, so the table of parsers is
-bounded by the grammar, whatever the column holds, and is broadcast. Values are then cut up
+small for most columns; it is written once and counted, broadcast up to ``BROADCAST_ROWS`` parsers and
+joined by a shuffle beyond (zone names of any length make many shapes). Values are then cut up
 at those places by JVM expressions, and local times are converted through zone transition
 tables in Arrow batches.
 
@@ -25,7 +26,10 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from heliolake.functions.zones import VERSION, offset_of
+from heliolake.session import cut
 
+#: Most parsers that are broadcast; one takes about 300 bytes.
+BROADCAST_ROWS = 50_000
 _LETTERS = "abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ"
 #: Fixed values.
 MONTHS = ("january", "february", "march", "april", "may", "june", "july", "august", "september", "october", "november", "december")
@@ -107,6 +111,12 @@ def shape_mask(value: Column) -> Column:
     return F.translate(value, "0123456789" + _LETTERS, "9" * 10 + "a" * 52)
 
 
+def utc_day(instant: Column) -> Column:
+    """The calendar day of an instant in UTC, whatever the session's time zone."""
+    us = F.unix_micros(instant)
+    return F.date_from_unix_date(((us - F.pmod(us, F.lit(86_400_000_000))) / 86_400_000_000).cast("int"))
+
+
 def normalise(df: DataFrame, value: str, zone: Column, date_order: Column) -> DataFrame:
     """Add ``written_date``, ``instant`` (UTC), ``day`` (date where no time is given), ``precision``, ``zone_source`` and ``tz_version``.
 
@@ -118,7 +128,8 @@ def normalise(df: DataFrame, value: str, zone: Column, date_order: Column) -> Da
     work = work.withColumn("__mask", shape_mask(F.col("__v")))
     parsers = work.select(F.col("__mask").alias("mask")).filter("mask IS NOT NULL").distinct().mapInPandas(_parsers, _SCHEMA)
     p = parsers.select(F.col("mask").alias("__mask"), F.struct(*[c for c in parsers.columns if c != "mask"]).alias("__p"))
-    work = work.drop("__p").join(F.broadcast(p), "__mask", "left")
+    p = cut(p)
+    work = work.drop("__p").join(F.broadcast(p) if p.count() <= BROADCAST_ROWS else p, "__mask", "left")
 
     def part(k: str) -> Column:
         return F.when(F.col(f"__p.{k}") > 0, F.substring(F.col("__v"), F.col(f"__p.{k}"), F.col(f"__p.{k}_n")))

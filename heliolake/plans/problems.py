@@ -96,7 +96,7 @@ def p5_values(spark: SparkSession, sf: str) -> DataFrame:
 
 def p5_found(spark: SparkSession, sf: str) -> DataFrame:
     """Values whose written calendar day isn't that of their moment in UTC."""
-    return p5_values(spark, sf).filter(F.to_date("instant") != F.col("written_date")).select("table_name", "row_id", "field_name")
+    return p5_values(spark, sf).filter(timestamps.utc_day(F.col("instant")) != F.col("written_date")).select("table_name", "row_id", "field_name")
 
 
 QUERIES |= {"p5_found": p5_found, "p5_values": p5_values}

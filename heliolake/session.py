@@ -33,28 +33,38 @@ def build_session(app: str = "heliolake", master: str | None = None, shuffle_par
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder that all executors share: ``spark.checkpoint.dir``, or a folder of our own where that is unset (tests, one machine)."""
+    """The folder that all executors share: ``spark.checkpoint.dir``, or a folder of our own where that is unset and the master is local.
+
+    On a cluster a folder of one machine would lose rows silently, so there an unset folder is an error.
+    """
     sc = spark.sparkContext
     now = sc._jsc.sc().getCheckpointDir()
     if now.isDefined():
         return now.get()
-    path = spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="heliolake-")
+    path = spark.conf.get("spark.checkpoint.dir", None) or _own_dir(sc.master)
     sc.setCheckpointDir(path)
     return sc._jsc.sc().getCheckpointDir().get()
 
 
+def _own_dir(master: str) -> str:
+    if not (master == "local" or master.startswith("local[")):
+        raise RuntimeError(f"spark.checkpoint.dir must name a folder that all executors of {master} share")
+    return tempfile.mkdtemp(prefix="heliolake-")
+
+
 _made: list[tuple[SparkSession, str]] = []
 
 
-def _clean() -> None:
-    """Remove the tables of this process from the shared folder when it ends in order."""
+def drop_tables() -> None:
+    """Remove the tables that :func:`cut` has written. For callers that are done with all results; also runs when the process ends in order."""
     for spark, path in _made:
         try:
             jvm = spark.sparkContext._jvm
             p = jvm.org.apache.hadoop.fs.Path(path)
             p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(p, True)
         except Exception:  # noqa: BLE001 - the session is gone
-            return
+            break
+    _made.clear()
 
 
 def cut(df: DataFrame) -> DataFrame:
@@ -67,13 +77,12 @@ def cut(df: DataFrame) -> DataFrame:
     spark = df.sparkSession
     path = f"{shared_dir(spark).rstrip('/')}/table-{uuid.uuid4().hex}"
     df.write.parquet(path)
-    if not _made:
-        atexit.register(_clean)
     _made.append((spark, path))
     return spark.read.schema(df.schema).parquet(path)
 
 
 cut_table = cut
+atexit.register(drop_tables)
 
 
 def partitions(spark: SparkSession) -> int:

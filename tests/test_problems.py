@@ -272,3 +272,58 @@ def test_matching_is_optimal(seed):
     full = [[w[i][j] if i < n and j < m else 0 for j in range(k)] for i in range(k)]
     assert got == pytest.approx(max(sum(full[i][p[i]] for i in range(k)) for p in permutations(range(k))))
     assert drift.best_matching([]) == []
+
+
+# --- zones before 1970, session zone, size checks --------------------------------------------
+
+
+def test_zone_tables_reach_back_to_the_first_transition():
+    import numpy as np
+
+    from heliolake.functions import zones
+
+    def offset(zone, *when):
+        local = int((datetime(*when) - datetime(1970, 1, 1)).total_seconds())
+        return int(zones.utc_offsets(np.array([local]), zone, None)[0])
+
+    assert offset("Europe/London", 1950, 12, 1) == 0 and offset("Europe/London", 1950, 7, 1) == 3600
+    assert offset("Europe/London", 1969, 12, 1) == 3600 and offset("Europe/London", 1800, 1, 1) == -75
+    assert offset("Europe/Berlin", 2090, 7, 1) == 7200 and zones.transitions("Nowhere/Land") is None and zones.transitions("../etc/passwd") is None
+
+
+def test_long_and_old_values_and_any_session_zone(spark):
+    from heliolake.operators import timestamps
+
+    rows = [(1, "Wednesday, 5th September 2018 at 23:30:15.123456 [America/Argentina/ComodRivadavia]"), (2, "1950-12-01 00:10:00"), (3, "2020-07-01 00:10:00")]
+    df = spark.createDataFrame(rows, "k int, v string")
+    zone = spark.conf.get("spark.sql.session.timeZone")
+    try:
+        for session in ("UTC", "Pacific/Auckland", "America/Los_Angeles"):
+            spark.conf.set("spark.sql.session.timeZone", session)
+            out = timestamps.normalise(df, "v", F.lit("Europe/London"), F.lit("DMY"))
+            got = {r.k: (r.us, str(r.d)) for r in out.select("k", F.unix_micros("instant").alias("us"), timestamps.utc_day(F.col("instant")).alias("d")).collect()}
+            assert got == {1: (1_536_201_015_123_456, "2018-09-06"), 2: (-602_293_800_000_000, "1950-12-01"), 3: (1_593_558_600_000_000, "2020-06-30")}
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", zone)
+
+
+def test_many_parsers_and_many_heavy_keys_are_not_broadcast(spark, monkeypatch):
+    from heliolake.operators import skew, timestamps
+
+    df = spark.createDataFrame([(k % 3, k % 2, k) for k in range(600)], "a int, b int, n int")
+    want = {r.n: r.position for r in skew.positions(df, "a", ["n"], by=["b"]).collect()}
+    dates = spark.createDataFrame([("2020-01-01",), ("1 May 2020",), ("junk",), (None,)], "v string")
+    days = sorted(str(r.day) for r in timestamps.normalise(dates, "v", F.lit("UTC"), F.lit("DMY")).collect())
+    monkeypatch.setattr(skew, "BROADCAST_ROWS", 0)
+    monkeypatch.setattr(timestamps, "BROADCAST_ROWS", 0)
+    assert {r.n: r.position for r in skew.positions(df, "a", ["n"], by=["b"]).collect()} == want
+    assert sorted(str(r.day) for r in timestamps.normalise(dates, "v", F.lit("UTC"), F.lit("DMY")).collect()) == days
+
+
+def test_no_machine_local_folder_on_a_cluster(tmp_path):
+    from heliolake import session
+
+    for master in ("yarn", "spark://host:7077", "k8s://https://host", "local-cluster[2,1,1024]"):
+        with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
+            session._own_dir(master)
+    assert session._own_dir("local[4]") and session._own_dir("local")
