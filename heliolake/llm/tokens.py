@@ -1,23 +1,27 @@
 """Problem 7: token ids of every text by a public byte-level BPE, as a streaming transducer.
 
-A text of more than ``CHUNK`` characters is fed in chunks; ids are emitted once no later input
-can change them. Shorter texts are encoded whole by the library, but for long runs. A single run
-that no boundary ends is held whole, so memory depends on the chunk or on the longest run.
-
-* Pretokens. The end of a letter run is a boundary whatever follows, so everything up to the
-  last such place in the buffer is final and is encoded at native speed. In a buffer without
-  one, matches of the pattern that end ``PATTERN_LOOKAHEAD`` characters before its end are final:
-  a run is decided by the character after it, a contraction by two more.
-* Pieces. A pretoken of more than ``PIECE_LIMIT`` bytes is encoded by a left-to-right transducer.
-  A sequence of tokens is the encoding of its bytes exactly if each two neighbours are the
-  encoding of theirs, so the encoding of each prefix is the encoding of a shorter prefix and one
-  token. The merge list's longest token bounds how far back the next token may start: this is
-  the sufficient lookahead. Tokens common to the chains from all places within it are stable.
-
+Every text, whatever its length, is fed to the same transducer in chunks of ``CHUNK`` characters;
+ids are emitted once no later input can change them. What is held back is bounded by the chunk, the longest
+word between spaces and the merge list's lookahead, or by ``RUN`` characters where a word is longer.
+
+* Units. A space after a character that is no white space begins a new pretoken whatever follows,
+  so what stands between such places is final once the next one is seen.
+* Pretokens. Within a unit the pattern tells them apart. Of a unit that goes on beyond ``RUN``
+  characters, pretokens are final that end ``PATTERN_LOOKAHEAD`` characters before the end of what is held: a
+  run is decided by the character after it, a contraction by two more. A single run (letters,
+  digits, symbols or white space) that is longer still goes on into the piece transducer as it arrives.
+* Pieces. The bytes of a pretoken are encoded from left to right. A sequence of tokens is
+  the encoding of its bytes exactly if each two neighbours are the encoding of theirs, so the
+  encoding of each prefix is the encoding of a shorter prefix and one token. The final encoding
+  passes through one of any ``lookahead`` successive places, which is the longest token that
+  the merge list can form in a run of the given kind. Tokens common to the chains from all of
+  these places are stable and leave.
+
+What the transducer gave for a pretoken or unit of up to ``KEPT_LENGTH`` characters is kept for its next occurrence.
 Decoding goes back through a byte-to-text state machine that keeps unfinished characters.
 
 Defined results: null and empty texts have the empty list; strings of special tokens are
-ordinary text; lone surrogates, which UTF-8 can't hold, encode as the replacement character.
+ordinary text; lone surrogates, which UTF-8 can't hold, encode as a question mark.
 """
 
 from __future__ import annotations
@@ -25,11 +29,12 @@ from __future__ import annotations
 import base64
 import codecs
 import os
-from collections.abc import Iterator
+import re
+from collections.abc import Callable, Iterator
 
+import numpy as np
 import pyarrow as pa
 import regex
-import tiktoken
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -38,13 +43,21 @@ TOKENIZER_DIR = os.environ.get("HELIOLAKE_TOKENIZERS", "/opt/tokenizers")
 #: Fixed value: the pretoken pattern of the byte-level BPE.
 PATTERN = r"""'(?:[sdmt]|ll|ve|re)| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
 PATTERN_LOOKAHEAD = 4
-#: Characters that a chunk holds.
-CHUNK = 1 << 16
-#: Bytes of a pretoken from which the piece transducer is used.
-PIECE_LIMIT = 1 << 14
+#: Characters that a chunk holds, and characters of a unit beyond which its pretokens leave before it ends.
+CHUNK, RUN = 1 << 16, 1 << 12
+#: Units or pretokens that a worker keeps, and the longest of them.
+KEPT, KEPT_LENGTH = 500_000, 64
 
-_LAST_LETTER_END = regex.compile(r"(?r)(?<=\p{L})[^\p{L}]")
 _WORDS = regex.compile(PATTERN)
+_UNSAFE = re.compile(r"\s ")
+_SAFE_SPACE = re.compile(r"(?<=\S) ")
+#: What a run goes on with, by the kind of its characters.
+_KINDS = {"letters": regex.compile(r"\p{L}*"), "digits": regex.compile(r"\p{N}*"), "space": regex.compile(r"\s*"), "symbols": regex.compile(r"[^\s\p{L}\p{N}]*")}
+
+
+def kind_of(char: str) -> str:
+    """The kind of run that a character stands in."""
+    return next(k for k, p in _KINDS.items() if p.fullmatch(char))
 
 
 def load_ranks(data: bytes) -> dict[bytes, int]:
@@ -52,27 +65,69 @@ def load_ranks(data: bytes) -> dict[bytes, int]:
     return {base64.b64decode(t): int(r) for t, r in map(bytes.split, data.splitlines()) if t}
 
 
+def token_lengths(ranks: dict[bytes, int]) -> dict[str, list[int]]:
+    """Lengths in bytes of the tokens that can stand in each kind of run, the longest first.
+
+    The first is the sufficient lookahead of the merge list in such a run. A token that is no
+    whole text (a part of a character) may stand in any run.
+    """
+    lengths: dict[str, set[int]] = {k: {1} for k in _KINDS}
+    for token in ranks:
+        try:
+            text = token.decode("utf-8")
+            kinds = [k for k, p in _KINDS.items() if p.fullmatch(text[1:] if text[:1] == " " and len(text) > 1 and text[1] != " " else text)]
+        except UnicodeDecodeError:
+            kinds = list(_KINDS)
+        for k in kinds:
+            lengths[k].add(len(token))
+    return {k: sorted(v, reverse=True) for k, v in lengths.items()}
+
+
+class _Kept(dict):
+    """Results by text; what is missing is worked out, and kept if it is short."""
+
+    def __init__(self, work: Callable[[str], bytes]) -> None:
+        super().__init__()
+        self.work = work
+
+    def __missing__(self, text: str) -> bytes:
+        got = self.work(text)
+        if len(text) <= KEPT_LENGTH:
+            if len(self) >= KEPT:
+                self.clear()
+            self[text] = got
+        return got
+
+
 class Codec:
-    """One tokenizer: encoding, counting and decoding of whole texts or of streams."""
+    """One tokenizer: encoding, counting and decoding of whole texts or of streams. Ids travel as 32-bit integers in bytes."""
 
-    def __init__(self, ranks: dict[bytes, int], name: str = "bpe") -> None:
+    def __init__(self, ranks: dict[bytes, int]) -> None:
         self.ranks = ranks
-        self.core = tiktoken.Encoding(name, pat_str=PATTERN, mergeable_ranks=ranks, special_tokens={})
-        #: Sufficient lookahead of the merge list, in bytes.
-        self.lookahead = max(map(len, ranks))
+        lengths = token_lengths(ranks)
+        #: Sufficient lookahead of the merge list in bytes, for each kind of run.
+        self.lookahead = {k: v[0] for k, v in lengths.items()}
+        #: Lengths to try at each place of a run, from its beginning on.
+        self.lengths = {k: [[n for n in v if n <= end] for end in range(v[0] + 1)] for k, v in lengths.items()}
+        self.words = _Kept(self._word)
+        self.units = _Kept(self._unit)
+        self.spaced = _Kept(lambda rest: self._unit(" " + rest))
+        #: Pretokens that the piece transducer has encoded, for tests.
+        self.transduced = 0
         self._pairs: dict[tuple[int, int], bool] = {}
+        self._halves: dict[bytes, tuple[bytes, bytes] | None] = {}
         self._bytes: list[bytes] | None = None
 
     def encode(self, text: str | None) -> list[int]:
+        return np.frombuffer(self.packed(text), np.int32).tolist()
+
+    def packed(self, text: str | None) -> bytes:
         if not text:
-            return []
-        if len(text) <= CHUNK:
-            return self._final(text)
-        out: list[int] = []
+            return b""
         stream = Encoder(self)
-        for at in range(0, len(text), CHUNK):
-            out += stream.feed(text[at : at + CHUNK])
-        return out + stream.finish()
+        if len(text) <= CHUNK:
+            return stream.feed(text) + stream.finish()
+        return b"".join([*(stream.feed(text[at : at + CHUNK]) for at in range(0, len(text), CHUNK)), stream.finish()])
 
     def decode(self, ids: list[int]) -> str:
         d = Decoder(self)
@@ -86,162 +141,224 @@ class Codec:
             self._bytes = table
         return self._bytes[i]
 
-    def _final(self, text: str) -> list[int]:
+    def _unit(self, text: str) -> bytes:
         """Ids of text whose ends are pretoken boundaries."""
-        if len(text) <= PIECE_LIMIT // 4:
-            return self.core.encode_ordinary(text)
-        out: list[int] = []
-        at = 0
-        for m in regex.finditer(r"\p{L}{%d,}|\p{N}{%d,}|\s{%d,}|[^\s\p{L}\p{N}]{%d,}" % ((PIECE_LIMIT // 4,) * 4), text):
-            # the pretokens around and in a long run are matched in place
-            a = max(at, m.start() - 1)
-            head, words = self._split(text, at, a, m.end())
-            out += self.core.encode_ordinary(text[at:head])
-            for w in words:
-                out += self.piece(w.encode("utf-8", "replace"))
-                head += len(w)
-            at = head
-        return out + self.core.encode_ordinary(text[at:])
-
-    def _split(self, text: str, at: int, a: int, end: int) -> tuple[int, list[str]]:
-        """(start of the first pretoken that reaches beyond ``a``, pretokens from there until ``end`` is passed)."""
-        words: list[str] = []
-        start = at
-        cut = _LAST_LETTER_END.search(text, at, a)
-        pos = cut.start() if cut else at
-        start = pos
-        for m in _WORDS.finditer(text, pos):
-            if m.end() <= a and not words:
-                start = m.end()
-                continue
-            if m.start() >= end:
-                break
-            words.append(m[0])
-        return start, words
+        get = self.words.__getitem__
+        return b"".join(map(get, _WORDS.findall(text)))
 
-    def piece(self, data: bytes) -> list[int]:
+    def _word(self, word: str) -> bytes:
         """Ids of one pretoken."""
-        if len(data) <= PIECE_LIMIT:
-            return self.core._encode_single_piece(data)
-        p = Piece(self)
-        out: list[int] = []
-        for at in range(0, len(data), CHUNK):
-            out += p.feed(data[at : at + CHUNK])
-        return out + p.finish()
+        data = word.encode("utf-8", "replace")
+        whole = self.ranks.get(data)
+        if whole is not None:
+            return np.int32(whole).tobytes()
+        self.transduced += 1
+        p = Piece(self, kind_of(word[-1]))
+        return p.feed(data) + p.finish()
+
+    def halves(self, token: bytes) -> tuple[bytes, bytes] | None:
+        """The two tokens that the merge list joins last to form a token; None for single bytes and what it never forms."""
+        if token not in self._halves:
+            parts, own = [token[i : i + 1] for i in range(len(token))], self.ranks[token]
+            while len(parts) > 2:
+                rank, i = min((self.ranks.get(a + b, own), i) for i, (a, b) in enumerate(zip(parts, parts[1:])))
+                if rank >= own:
+                    break
+                parts[i : i + 2] = [parts[i] + parts[i + 1]]
+            self._halves[token] = (parts[0], parts[1]) if len(parts) == 2 else None
+        return self._halves[token]
 
     def compatible(self, a: int, b: int) -> bool:
-        """Is (a, b) the encoding of its own bytes?"""
+        """Is (a, b) the encoding of its own bytes?
+
+        The tokens' last merges are undone, the latest first, and with them what they hide from the border between
+        the two. They stay apart unless a merge across the border comes before one that has been undone.
+        """
         got = self._pairs.get((a, b))
         if got is None:
             if len(self._pairs) > 1_000_000:
                 self._pairs.clear()
-            got = self._pairs[a, b] = self.core._encode_single_piece(self.token(a) + self.token(b)) == [a, b]
+            got = self._pairs[a, b] = self._apart(self.token(a), self.token(b))
         return got
 
+    def _apart(self, x: bytes, y: bytes) -> bool:
+        ranks, limit = self.ranks, 1 << 31
+        while True:
+            across = ranks.get(x + y)
+            if across is not None and across < limit:
+                return False
+            if len(x) > 1 and (len(y) == 1 or ranks[x] > ranks[y]):
+                if (split := self.halves(x)) is None:
+                    return False
+                # of equal merges the left one comes first
+                limit, x = ranks[x], split[1]
+            elif len(y) > 1:
+                if (split := self.halves(y)) is None:
+                    return False
+                limit, y = ranks[y] + 1, split[0]
+            else:
+                return True
+
 
 class Encoder:
     """Text in chunks to ids; holds back only what later text may change."""
 
     def __init__(self, codec: Codec) -> None:
-        self.codec, self.held = codec, ""
+        self.codec, self.held, self.begun = codec, "", False
         self.run: Piece | None = None
-
-    def feed(self, chunk: str) -> list[int]:
-        self.held += chunk
-        m = _LAST_LETTER_END.search(self.held)
-        if m:
-            done, self.held = self.held[: m.start()], self.held[m.start() :]
-            return self.codec._final(done)
-        if len(self.held) < 4 * CHUNK:
-            return []
-        # no letter run ends here: take the pretokens that are decided
-        limit, end = len(self.held) - PATTERN_LOOKAHEAD, 0
-        out: list[int] = []
+        self.kind = ""
+
+    def feed(self, chunk: str) -> bytes:
+        out = b""
+        if self.run is not None:
+            out, chunk = self._go_on(chunk)
+            if self.run is not None:
+                return out
+        text = self.held + chunk
+        parts = _SAFE_SPACE.split(text) if _UNSAFE.search(text) else text.split(" ")
+        # the space before a unit stands between the parts; a text that begins with one has an empty first part
+        if len(parts) > 1:
+            if text[:1] == " " and not parts[0]:
+                parts = parts[1:]
+                first = self.codec.spaced
+            else:
+                first = self.codec.units
+            self.held = parts.pop() if len(parts) == 1 else ""
+            if parts:
+                last = parts.pop()
+                if parts:
+                    out += first[parts[0]] + b"".join(map(self.codec.spaced.__getitem__, parts[1:]))
+                    self.held = " " + last
+                else:
+                    self.held = (" " if first is self.codec.spaced else "") + last
+            elif first is self.codec.spaced:
+                self.held = " " + self.held
+        else:
+            self.held = text
+        return out + self._shortened() if len(self.held) > RUN else out
+
+    def _shortened(self) -> bytes:
+        """Ids of the decided pretokens of a long unit; a run that is left goes on into the piece transducer."""
+        limit, end, out = len(self.held) - PATTERN_LOOKAHEAD, 0, []
         for w in _WORDS.finditer(self.held):
             if w.end() > limit:
                 break
-            out += self.codec.piece(w[0].encode("utf-8", "replace"))
+            out.append(self.codec.words[w[0]])
             end = w.end()
         self.held = self.held[end:]
+        if len(self.held) > RUN:
+            self.kind = kind_of(self.held[len(self.held) // 2])
+            self.run = Piece(self.codec, self.kind)
+            # the pretoken begins as the pattern says, so what goes on is of one kind after a leading space
+            lead = 1 if self.kind != "space" and self.held[0] == " " else 0
+            out.append(self.run.feed(self.held[:lead].encode()))
+            rest, self.held = self.held[lead:], ""
+            got, rest = self._go_on(rest)
+            out.append(got)
+            if rest:
+                out.append(self.feed(rest))
+        return b"".join(out)
+
+    def _go_on(self, chunk: str) -> tuple[bytes, str]:
+        """Feed a run with what continues it; the rest of the chunk once it ends."""
+        run = self.run
+        assert run is not None
+        chunk = self.held + chunk
+        self.held = ""
+        end = _KINDS[self.kind].match(chunk).end()
+        if self.kind != "space":
+            out = run.feed(chunk[:end].encode("utf-8", "replace"))
+            if end == len(chunk):
+                return out, ""
+            self.run = None
+            return out + run.finish(), chunk[end:]
+        # the last white space before a word isn't part of the run
+        out = run.feed(chunk[: max(end - 1, 0)].encode("utf-8", "replace"))
+        self.held = chunk[max(end - 1, 0) : end]
+        if end == len(chunk):
+            return out, ""
+        rest, self.held, self.run = self.held + chunk[end:], "", None
+        return out + run.finish(), rest
+
+    def finish(self) -> bytes:
+        if self.run is not None:
+            out = self.run.feed(self.held.encode("utf-8", "replace")) + self.run.finish()
+        elif self.held[:1] == " ":
+            out = self.codec.spaced[self.held[1:]]
+        else:
+            out = self.codec.units[self.held] if self.held else b""
+        self.run, self.held = None, ""
         return out
 
-    def finish(self) -> list[int]:
-        done, self.held = self.held, ""
-        return self.codec._final(done) if done else []
-
 
 class Piece:
     """Bytes of one pretoken in chunks to ids, with the merge list's lookahead."""
 
-    def __init__(self, codec: Codec) -> None:
-        self.codec = codec
+    def __init__(self, codec: Codec, kind: str) -> None:
+        self.codec, self.lookahead, self.lengths = codec, codec.lookahead[kind], codec.lengths[kind]
         self.window = b""  # bytes after the last emitted token
         self.last: list[int] = [-1]  # last token of the encoding of each prefix of the window
         self.before = -1  # last emitted token
 
-    def feed(self, data: bytes) -> list[int]:
-        c, out = self.codec, []
-        step = 8 * c.lookahead
+    def feed(self, data: bytes) -> bytes:
+        out: list[int] = []
+        step = 8 * self.lookahead
         for at in range(0, len(data), step):
             self._extend(data[at : at + step])
-            out += self._stable()
-        return out
+            if len(self.window) > step:
+                out += self._stable()
+        return np.array(out, np.int32).tobytes()
 
     def _extend(self, data: bytes) -> None:
         c = self.codec
         self.window += data
-        w, ranks, longest = self.window, c.ranks, c.lookahead
-        for end in range(len(self.last), len(w) + 1):
+        w, get, last = self.window, c.ranks.get, self.last
+        for end in range(len(last), len(w) + 1):
             found = -1
-            for start in range(max(0, end - longest), end):
-                t = ranks.get(w[start:end])
-                if t is None or (start and self.last[start] < 0):
-                    continue
-                prior = self.last[start] if start else self.before
-                if prior < 0 or c.compatible(prior, t):
-                    found = t
-                    break
-            self.last.append(found)
-
-    def _chain(self, end: int) -> list[tuple[int, int]]:
-        """(end, token) of the encoding of a prefix, from its first token on."""
+            for length in self.lengths[end] if end < self.lookahead else self.lengths[-1]:
+                t = get(w[end - length : end])
+                if t is not None:
+                    start = end - length
+                    prior = last[start] if start else self.before
+                    # no token before, or one that stays apart from this
+                    if (prior < 0 and not start) or (prior >= 0 and c.compatible(prior, t)):
+                        found = t
+                        break
+            last.append(found)
+
+    def _chain(self, end: int) -> list[int]:
+        """The encoding of a prefix."""
         out = []
         while end:
             t = self.last[end]
-            out.append((end, t))
+            out.append(t)
             end -= len(self.codec.token(t))
         return out[::-1]
 
     def _stable(self) -> list[int]:
         """Tokens that the chains from all places within the lookahead have in common."""
         n = len(self.window)
-        if n <= self.codec.lookahead:
-            return []
-        common: list[tuple[int, int]] | None = None
-        for end in range(n - self.codec.lookahead, n + 1):
-            if self.last[end] < 0:
-                continue
-            chain = self._chain(end)
-            if common is None:
-                common = chain
-            else:
-                k = 0
-                while k < min(len(common), len(chain)) and common[k] == chain[k]:
-                    k += 1
-                common = common[:k]
-            if not common:
-                return []
-        if not common:
+        open_ = {end for end in range(n - self.lookahead, n + 1) if self.last[end] >= 0}
+        # the farthest place gives way to the one before its token, until the chains have met
+        at = n
+        while len(open_) > 1:
+            while at not in open_:
+                at -= 1
+            open_.remove(at)
+            open_.add(at - len(self.codec.token(self.last[at])))
+        keep = open_.pop()
+        if not keep:
             return []
-        keep, self.before = common[-1]
+        out = self._chain(keep)
+        self.before = out[-1]
         self.window = self.window[keep:]
         self.last = [-1, *self.last[keep + 1 :]]
-        return [t for _, t in common]
+        return out
 
-    def finish(self) -> list[int]:
-        out = [t for _, t in self._chain(len(self.window))]
+    def finish(self) -> bytes:
+        out = self._chain(len(self.window))
         self.window, self.last, self.before = b"", [-1], -1
-        return out
+        return np.array(out, np.int32).tobytes()
 
 
 class Decoder:
@@ -286,8 +403,29 @@ def encode_column(df: DataFrame, key: str, text: str, name: str = "byte_bpe_50k"
             # rows leave in slices, so a batch of long texts doesn't hold all its ids at once
             for at in range(0, b.num_rows, 512):
                 part = b.slice(at, 512)
-                got = (codec.encode(t.as_py()) for t in part.column(1))
-                values = pa.array([len(g) for g in got], pa.int32()) if counts else pa.array(list(got), pa.list_(pa.int32()))
+                got = [codec.packed(t) for t in part.column(1).to_pylist()]
+                sizes = np.array([len(g) for g in got]) // 4
+                if counts:
+                    values = pa.array(sizes.astype(np.int32))
+                else:
+                    ends = np.concatenate(([0], np.cumsum(sizes))).astype(np.int32)
+                    values = pa.ListArray.from_arrays(pa.array(ends), pa.array(np.frombuffer(b"".join(got), np.int32)))
                 yield pa.RecordBatch.from_arrays([part.column(0), values], names=[key, out])
 
     return df.select(F.col(key), F.col(text)).mapInArrow(run, f"{key} {kind}, {out} {'int' if counts else 'array<int>'}")
+
+
+def decode_column(df: DataFrame, key: str, ids: str, name: str = "byte_bpe_50k", folder: str | None = None) -> DataFrame:
+    """``key, text`` of every row's ids; null ids give the empty text."""
+    shared = df.sparkSession.sparkContext.broadcast(tokenizer_bytes(name, folder))
+    kind = dict(df.dtypes)[key]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        codec = codec_of(shared.value)
+        for b in batches:
+            for at in range(0, b.num_rows, 512):
+                part = b.slice(at, 512)
+                texts = [codec.decode(i) if i else "" for i in part.column(1).to_pylist()]
+                yield pa.RecordBatch.from_arrays([part.column(0), pa.array(texts, pa.string())], names=[key, "text"])
+
+    return df.select(F.col(key), F.col(ids)).mapInArrow(run, f"{key} {kind}, text string")
