@@ -149,38 +149,69 @@ def _kind_of(v: str | bytes) -> str:
     return G.WKB_KINDS.get(int.from_bytes(v[1:5], "little" if v[0] == 1 else "big") & 0xFF, "POLYGON")
 
 
-def _crosses(x: np.ndarray, y: np.ndarray) -> bool:
-    """Does a closed ring cross itself? Neighbouring edges share a vertex and don't count."""
-    x1, y1, x2, y2 = x[:-1], y[:-1], x[1:], y[1:]
-    n = len(x1)
-    side = lambda ax, ay, bx, by, px, py: (bx - ax) * (py - ay) - (by - ay) * (px - ax)
-    i, j = np.triu_indices(n, 2)
-    apart = ~((i == 0) & (j == n - 1))
-    i, j = i[apart], j[apart]
-    s1, s2 = side(x1[i], y1[i], x2[i], y2[i], x1[j], y1[j]), side(x1[i], y1[i], x2[i], y2[i], x2[j], y2[j])
-    s3, s4 = side(x1[j], y1[j], x2[j], y2[j], x1[i], y1[i]), side(x1[j], y1[j], x2[j], y2[j], x2[i], y2[i])
-    return bool(((s1 * s2 < 0) & (s3 * s4 < 0)).any())
+def crossing_rows(r: G.RingSet, chunk: int = 1_000_000) -> np.ndarray:
+    """Rows in which two edges, of one ring or of two, cross properly. Neighbouring edges share a vertex and don't count.
+
+    Edges are sorted by their left ends, and each meets only those that begin before its right end; pairs are
+    formed in chunks, so memory doesn't grow with a ring's length.
+    """
+    if not len(r.x):
+        return np.zeros(0, np.int64)
+    e = np.flatnonzero(r.ring[1:] == r.ring[:-1])
+    first = np.concatenate(([0], np.flatnonzero(np.diff(r.ring)) + 1))[r.ring[e]]
+    last = np.bincount(r.ring)[r.ring[e]] - 2
+    place, ring, row = e - first, r.ring[e], r.row[r.ring[e]]
+    x1, y1, x2, y2 = r.x[e], r.y[e], r.x[e + 1], r.y[e + 1]
+    low, high = np.minimum(x1, x2), np.maximum(x1, x2)
+    wide = float(r.x.max() - r.x.min()) + 1.0
+    order = np.lexsort((low, row))
+    key = row[order] * wide + (low[order] - r.x.min())
+    reach = np.searchsorted(key, row[order] * wide + (high[order] - r.x.min()), "right")
+    work = np.maximum(reach - np.arange(len(order)) - 1, 0)
+    bounds = np.concatenate(([0], np.cumsum(work)))
+    side = lambda i, px, py: (x2[i] - x1[i]) * (py - y1[i]) - (y2[i] - y1[i]) * (px - x1[i])
+    bad: set[int] = set()
+    at = 0
+    while at < len(order):
+        to = max(at + 1, int(np.searchsorted(bounds, bounds[at] + chunk, "right")) - 1)
+        w = work[at:to]
+        k = np.repeat(np.arange(at, to), w)
+        i, j = order[k], order[k + 1 + np.arange(len(k)) - np.repeat(np.cumsum(w) - w, w)]
+        gap = np.abs(place[i] - place[j])
+        meet = (np.minimum(y1[i], y2[i]) <= np.maximum(y1[j], y2[j])) & (np.minimum(y1[j], y2[j]) <= np.maximum(y1[i], y2[i]))
+        meet &= (ring[i] != ring[j]) | ((gap > 1) & (gap < last[i]))
+        i, j = i[meet], j[meet]
+        cross = (side(i, x1[j], y1[j]) * side(i, x2[j], y2[j]) < 0) & (side(j, x1[i], y1[i]) * side(j, x2[i], y2[i]) < 0)
+        bad.update(row[i[cross]].tolist())
+        at = to
+    return np.array(sorted(bad), np.int64)
+
+
+def _part(r: G.RingSet, rings: np.ndarray) -> G.RingSet:
+    """The chosen rings of a batch, with the rows as they are."""
+    number = np.cumsum(rings) - 1
+    on = rings[r.ring]
+    return G.RingSet(r.x[on], r.y[on], number[r.ring[on]], r.row[rings], r.hole[rings], r.kinds)
 
 
 @F.arrow_udf(T.BooleanType())
 def st_isvalid(g: pa.Array) -> pa.Array:
-    """Rings closed, of four points or more, with an area, not crossing themselves; holes no larger than their shell. Empty is valid, null is null."""
+    """Rings closed, of four points or more, with an area; no two edges of a row cross; holes begin inside a shell of their row. Empty is valid, null is null."""
     r = decode(g)
     ok = r.kinds != "NULL"
     if len(r.x):
-        area = np.abs(G._ring_sums(r)[0])
-        cuts = np.flatnonzero(np.diff(r.ring)) + 1
-        shell = 0.0
-        for k, (x, y) in enumerate(zip(np.split(r.x, cuts), np.split(r.y, cuts))):
-            if r.kinds[r.row[k]] not in ("POLYGON", "MULTIPOLYGON"):
-                continue
-            good = len(x) >= 4 and x[0] == x[-1] and y[0] == y[-1] and area[k] > 0
-            if r.hole[k]:
-                good = good and area[k] <= shell
-            else:
-                shell = area[k]
-            if not good or _crosses(x, y):
-                ok[r.row[k]] = False
+        areal = np.isin(r.kinds[r.row], ("POLYGON", "MULTIPOLYGON"))
+        start = np.concatenate(([0], np.flatnonzero(np.diff(r.ring)) + 1))
+        end = np.concatenate((start[1:], [len(r.x)])) - 1
+        good = (end - start >= 3) & (r.x[start] == r.x[end]) & (r.y[start] == r.y[end]) & (G._ring_sums(r)[0] != 0)
+        ok[r.row[areal & ~good]] = False
+        if (areal & r.hole).any():
+            shells = G.filled_edges(_part(r, ~r.hole))
+            h = np.flatnonzero(areal & r.hole)
+            x, y = r.x[start[h]], r.y[start[h]]
+            ok[r.row[h[~(G.points_in(shells, r.row[h], x, y) | on_border(shells, r.row[h], x, y))]]] = False
+        if areal.any():
+            ok[crossing_rows(_part(r, areal))] = False
     return pa.array(ok, mask=r.kinds == "NULL")
 
 
@@ -243,42 +274,123 @@ def on_border(e: G.Edges, row: np.ndarray, px: np.ndarray, py: np.ndarray) -> np
     return out | ((py >= lo) & (py <= hi) & G.points_in(e, row, px - 1e-9, py) ^ ((py >= lo) & (py <= hi) & G.points_in(e, row, px + 1e-9, py)))
 
 
-def _segments(r: G.RingSet, row: int) -> np.ndarray:
-    at = np.flatnonzero(r.row[r.ring] == row) if len(r.x) else np.zeros(0, int)
-    if not len(at):
-        return np.zeros((0, 4))
-    p = np.column_stack((r.x[at], r.y[at]))
-    same = r.ring[at][1:] == r.ring[at][:-1]
-    seg = np.column_stack((p[:-1], p[1:]))[same]
-    alone = p[~np.isin(r.ring[at], r.ring[at][1:][same])]
-    return np.vstack((seg, np.column_stack((alone, alone)))) if len(alone) else seg
+def _segments(r: G.RingSet) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(x, y, x, y of all segments, row by row; first of each row; number of each row); a lone vertex is a segment of no length."""
+    if not len(r.x):
+        return np.zeros((0, 4)), np.zeros(r.n, np.int64), np.zeros(r.n, np.int64)
+    e = np.flatnonzero(r.ring[1:] == r.ring[:-1])
+    lone = np.flatnonzero(np.bincount(r.ring)[r.ring] == 1)
+    i, j = np.concatenate((e, lone)), np.concatenate((e + 1, lone))
+    row = r.row[r.ring[i]]
+    order = np.argsort(row, kind="stable")
+    i, j = i[order], j[order]
+    count = np.bincount(row, minlength=r.n)
+    return np.column_stack((r.x[i], r.y[i], r.x[j], r.y[j])), np.cumsum(count) - count, count
 
 
-def min_distance(a: G.RingSet, b: G.RingSet, zero: np.ndarray) -> np.ndarray:
-    """Least planar distance of the two rows of each place; 0 where ``zero`` says so, NaN without vertices."""
+def min_distance(a: G.RingSet, b: G.RingSet, zero: np.ndarray, chunk: int = 500_000) -> np.ndarray:
+    """Least planar distance of the two rows of each place; 0 where ``zero`` says so, NaN without vertices. All pairs of segments of a batch, in chunks."""
+    (sa, fa, ca), (sb, fb, cb) = _segments(a), _segments(b)
     out = np.where(zero, 0.0, np.nan)
-    for k in np.flatnonzero(~zero):
-        s, t = _segments(a, k), _segments(b, k)
-        if len(s) and len(t):
-            out[k] = _segment_distance(s, t)
+    rows = np.flatnonzero(~zero & (ca > 0) & (cb > 0))
+    out[rows] = np.inf
+    work = ca[rows] * cb[rows]
+    bounds = np.concatenate(([0], np.cumsum(work)))
+    total, at = int(bounds[-1]), 0
+
+    def to_segment(px: np.ndarray, py: np.ndarray, q: np.ndarray) -> np.ndarray:
+        dx, dy = q[:, 2] - q[:, 0], q[:, 3] - q[:, 1]
+        u = np.clip(((px - q[:, 0]) * dx + (py - q[:, 1]) * dy) / np.maximum(dx * dx + dy * dy, 1e-300), 0, 1)
+        return np.hypot(px - q[:, 0] - u * dx, py - q[:, 1] - u * dy)
+
+    side = lambda q, px, py: (q[:, 2] - q[:, 0]) * (py - q[:, 1]) - (q[:, 3] - q[:, 1]) * (px - q[:, 0])
+    while at < total:
+        n = np.arange(at, min(at + chunk, total))
+        k = np.searchsorted(bounds, n, "right") - 1
+        row, nth = rows[k], n - bounds[k]
+        s, t = sa[fa[row] + nth // cb[row]], sb[fb[row] + nth % cb[row]]
+        d = np.minimum.reduce([to_segment(s[:, 0], s[:, 1], t), to_segment(s[:, 2], s[:, 3], t), to_segment(t[:, 0], t[:, 1], s), to_segment(t[:, 2], t[:, 3], s)])
+        cross = (side(s, t[:, 0], t[:, 1]) * side(s, t[:, 2], t[:, 3]) < 0) & (side(t, s[:, 0], s[:, 1]) * side(t, s[:, 2], s[:, 3]) < 0)
+        np.minimum.at(out, row, np.where(cross, 0.0, d))
+        at += chunk
+    return out
+
+
+def _intervals(edges: list[np.ndarray], left: float, right: float) -> list[tuple[np.ndarray, np.ndarray]]:
+    """(lower edge, upper edge) of the filled stretches between two successive places, from below, by the edges' signs."""
+    mid = (left + right) / 2
+    on = [q for q in edges if q[0] <= left and q[2] >= right]
+    on.sort(key=lambda q: q[1] + (q[3] - q[1]) / (q[2] - q[0]) * (mid - q[0]))
+    out, depth, low = [], 0, None
+    for q in on:
+        before = depth
+        depth += -int(q[4])
+        if before == 0 and depth > 0:
+            low = q
+        elif before > 0 and depth == 0:
+            out.append((low, q))
     return out
 
 
-def _segment_distance(s: np.ndarray, t: np.ndarray) -> float:
-    def to_segment(p: np.ndarray, q: np.ndarray) -> float:
-        d = q[:, 2:] - q[:, :2]
-        length = np.maximum((d * d).sum(1), 1e-300)
-        u = np.clip(((p[:, None, :] - q[None, :, :2]) * d[None]).sum(2) / length, 0, 1)
-        near = q[None, :, :2] + u[..., None] * d[None]
-        return float(np.sqrt(((p[:, None, :] - near) ** 2).sum(2)).min())
+def overlay(shapes: list[np.ndarray], union: bool) -> str | None:
+    """Union of any number of shapes, or what is common to all, as a multipolygon of trapezoids that share no area.
+
+    ``shapes`` hold edges (left x, y, right x, y, sign). The plane is cut at all vertices and crossings; between two
+    successive cuts edges don't cross, so the filled stretches are found by counting. Nothing in common gives the empty multipolygon.
+    """
+    if not shapes or (not union and any(not len(q) for q in shapes)):
+        return "MULTIPOLYGON EMPTY"
+    every = np.vstack(shapes)
+    if not len(every):
+        return "MULTIPOLYGON EMPTY"
+    cuts = [every[:, 0], every[:, 2]]
+    slope = (every[:, 3] - every[:, 1]) / (every[:, 2] - every[:, 0])
+    for k in range(len(every)):  # crossings with the edges that come after, one edge against all
+        q, rest = every[k], every[k + 1 :]
+        with np.errstate(divide="ignore", invalid="ignore"):
+            x = ((rest[:, 1] - slope[k + 1 :] * rest[:, 0]) - (q[1] - slope[k] * q[0])) / (slope[k] - slope[k + 1 :])
+        cuts.append(x[np.isfinite(x) & (x > np.maximum(q[0], rest[:, 0])) & (x < np.minimum(q[2], rest[:, 2]))])
+    xs = np.unique(np.concatenate(cuts))
+    at = lambda q, x: q[1] + (q[3] - q[1]) / (q[2] - q[0]) * (x - q[0])
+    parts: list[str] = []
+    for left, right in zip(xs, xs[1:]):
+        if right - left <= 1e-13 * max(1.0, abs(left)):
+            continue
+        mid = (left + right) / 2
+        spans = [_intervals(list(q), left, right) for q in shapes]
+        if union:
+            kept: list[tuple[np.ndarray, np.ndarray]] = []
+            for low, high in sorted((s for sp in spans for s in sp), key=lambda s: at(s[0], mid)):
+                if kept and at(low, mid) <= at(kept[-1][1], mid):
+                    if at(high, mid) > at(kept[-1][1], mid):
+                        kept[-1] = kept[-1][0], high
+                else:
+                    kept.append((low, high))
+        else:
+            kept = spans[0]
+            for other in spans[1:]:
+                kept = [(low, high) for a in kept for b in other if at(low := max(a[0], b[0], key=lambda q: at(q, mid)), mid) < at(high := min(a[1], b[1], key=lambda q: at(q, mid)), mid)]
+        for low, high in kept:
+            ring: list[tuple[float, float]] = []
+            for p in ((left, at(low, left)), (right, at(low, right)), (right, at(high, right)), (left, at(high, left))):
+                if not ring or p != ring[-1]:
+                    ring.append(p)
+            if len(set(ring)) >= 3:
+                parts.append("((" + ", ".join(f"{x:.15g} {y:.15g}" for x, y in [*ring, ring[0]]) + "))")
+    return "MULTIPOLYGON (" + ", ".join(parts) + ")" if parts else "MULTIPOLYGON EMPTY"
+
+
+def edges_of(e: G.Edges, row: int) -> np.ndarray:
+    """Edges of one row for :func:`overlay`."""
+    i = slice(e.start[row], e.start[row] + e.count[row])
+    return np.column_stack((e.xl[i], e.yl[i], e.xr[i], e.yr[i], e.sign[i]))
+
 
-    side = lambda q, px, py: (q[:, None, 2] - q[:, None, 0]) * (py - q[:, None, 1]) - (q[:, None, 3] - q[:, None, 1]) * (px - q[:, None, 0])
-    s1, s2 = side(s, t[None, :, 0], t[None, :, 1]), side(s, t[None, :, 2], t[None, :, 3])
-    t1, t2 = side(t, s[None, :, 0], s[None, :, 1]).T, side(t, s[None, :, 2], s[None, :, 3]).T
-    if ((s1 * s2 < 0) & (t1 * t2 < 0)).any():
-        return 0.0
-    ends_s, ends_t = np.vstack((s[:, :2], s[:, 2:])), np.vstack((t[:, :2], t[:, 2:]))
-    return min(to_segment(ends_s, t), to_segment(ends_t, s))
+@F.arrow_udf(T.StringType())
+def st_intersection(a: pa.Array, b: pa.Array) -> pa.Array:
+    """What two areas have in common, as a multipolygon (its area is :func:`st_intersection_area`)."""
+    p = _Pair(a, b)
+    return pa.array([None if n else overlay([edges_of(p.ea, k), edges_of(p.eb, k)], False) for k, n in enumerate(p.null)], pa.string())
 
 
 @F.arrow_udf(T.DoubleType())
@@ -313,21 +425,38 @@ def st_equals(a: pa.Array, b: pa.Array) -> pa.Array:
 
 @F.arrow_udf(T.BooleanType())
 def st_within(a: pa.Array, b: pa.Array) -> pa.Array:
-    """a lies in b; for points a border counts as no interior contact beyond the half-open rule of ``points_in``."""
+    """a lies in b. A point on a border isn't within beyond the half-open rule of ``points_in``; a line is if all its vertices and the middles of its segments lie in b or on its border."""
     p = _Pair(a, b)
     fa = p.ma.area_deg2
     areal = (fa > 0) & (p.common >= fa * (1 - EPS))
-    point = (fa == 0) & p.ma.has & G.points_in(p.eb, p.k, np.nan_to_num(p.ma.cx), np.nan_to_num(p.ma.cy))
-    return pa.array(areal | point, mask=p.null)
-
-
-def st_dwithin(distance: float):
-    """Predicate: least planar distance at most ``distance``, in the units of the coordinates."""
+    one = np.isin(p.a.kinds, ("POINT", "MULTIPOINT"))
+    point = one & p.ma.has & G.points_in(p.eb, p.k, np.nan_to_num(p.ma.cx), np.nan_to_num(p.ma.cy))
+    line = np.isin(p.a.kinds, ("LINESTRING", "MULTILINESTRING")) & p.inside(False)
+    if line.any():
+        seg, _, count = _segments(p.a)
+        row = np.repeat(p.k, count)
+        x, y = (seg[:, 0] + seg[:, 2]) / 2, (seg[:, 1] + seg[:, 3]) / 2
+        np.logical_and.at(line, row, G.points_in(p.eb, row, x, y) | on_border(p.eb, row, x, y))
+    return pa.array(areal | point | line, mask=p.null)
+
+
+def in_metres(a: G.RingSet, b: G.RingSet) -> tuple[G.RingSet, G.RingSet]:
+    """Both sides of each pair in metres about the pair's middle latitude; good to a part in a thousand for pairs within some ten kilometres."""
+    ma, mb = G.measure(a), G.measure(b)
+    mid = np.radians(np.nan_to_num((ma.cy + mb.cy) / 2))
+    scale = np.radians(1.0) * G.EARTH_RADIUS_M
+    turn = 360.0 * np.round(np.nan_to_num(ma.cx - mb.cx) / 360.0)
+    flat = lambda r, t: G.RingSet((r.x + t[r.row[r.ring]]) * scale * np.cos(mid)[r.row[r.ring]], r.y * scale, r.ring, r.row, r.hole, r.kinds) if len(r.x) else r
+    return flat(a, np.zeros(a.n)), flat(b, turn)
+
+
+def st_dwithin(distance: float, metres: bool = False):
+    """Predicate: least distance at most ``distance``, planar in the units of the coordinates or in metres on the ground."""
 
     @F.arrow_udf(T.BooleanType())
     def f(a: pa.Array, b: pa.Array) -> pa.Array:
         p = _Pair(a, b)
-        d = p.distance()
+        d = min_distance(*in_metres(p.a, p.b), p.touching()) if metres else p.distance()
         return pa.array(np.nan_to_num(d, nan=np.inf) <= distance, mask=p.null)
 
     return f
@@ -357,6 +486,7 @@ FUNCTIONS = {
     "st_overlaps": st_overlaps,
     "st_equals": st_equals,
     "st_within": st_within,
+    "st_intersection": st_intersection,
 }
 
 

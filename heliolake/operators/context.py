@@ -17,6 +17,8 @@ from heliolake.functions import st
 from heliolake.functions.geo_columns import decode, measures
 from heliolake.operators import products as P
 from heliolake.operators import relational as R
+from heliolake.operators.geojoin import box_pairs, spatial_join
+from heliolake.session import cut
 
 #: Number of the cell resolutions that products use, and of sensors.
 RESOLUTIONS = {"dedup": 12, "country": 4, "boundaries": 6, "default": 8, "hexgrid": 5}
@@ -47,23 +49,23 @@ def with_defaults(df: DataFrame, defaults: dict[str, tuple[str, object]]) -> Dat
     return df.withColumns(out)
 
 
-def layer_context(sites: DataFrame, layer: DataFrame, key: str, site_geometry: str, layer_geometry: str, layer_key: str, keep: list[str], prefer: list[Column], flag: str, predicate: str = "intersects", countries: tuple[str, str] | None = None, cell: float | None = None) -> DataFrame:
+def layer_context(sites: DataFrame, layer: DataFrame, key: str, site_geometry: str, layer_geometry: str, layer_key: str, keep: list[str], prefer: list[Column], flag: str, predicate: str = "intersects", countries: tuple[str, str] | None = None) -> DataFrame:
     """Each site with the best matching feature of a layer (buildings, land use, land cover) and a flag.
 
     ``prefer`` ranks matches, greatest first; ties go to the smallest ``layer_key``. ``countries`` are
     the country columns of both sides: features of countries without sites are left out before the
     join, unless that would leave none. Sites without a match keep nulls and a false flag.
     """
-    from heliolake.plans.lakehouse import spatial_join
-
     if countries:
         there = sites.select(F.col(countries[0]).alias(countries[1])).distinct()
         own = layer.join(there, countries[1], "left_semi")
         layer = own if not own.isEmpty() else layer
-    right = layer.select(F.col(layer_key), F.col(layer_geometry).alias("__rg"), *[c for c in keep if c != layer_key])
-    met = spatial_join(sites.select(key, F.col(site_geometry).alias("__lg")), right, ("__lg", "__rg"), predicate_of(predicate), cell=cell)
-    order = [p.desc_nulls_last() for p in prefer]
-    best = R.best_match(met, [key], [*order, F.col(layer_key).asc_nulls_last()]).select(key, layer_key, *[c for c in keep if c != layer_key])
+    right = layer.select(F.col(layer_key), F.col(layer_geometry).alias("__rg"), F.struct(*prefer).alias("__rank"), *[c for c in keep if c != layer_key])
+    met = spatial_join(sites.select(key, F.col(site_geometry).alias("__lg")), right, ("__lg", "__rg"), predicate_of(predicate))
+    # the best of each partition goes through the shuffle only; nulls rank last, equal ones go to the smallest key
+    names = [layer_key, *[c for c in keep if c != layer_key]]
+    first = met.groupBy(key).agg(F.max("__rank").alias("__top"))
+    best = met.join(first, key).filter(F.col("__rank").eqNullSafe(F.col("__top"))).groupBy(key).agg(F.min_by(F.struct(*names), F.col(layer_key)).alias("__b")).select(key, *[f"__b.{c}" for c in names])
     return sites.join(best.withColumn(flag, F.lit(True)), key, "left").withColumn(flag, F.coalesce(F.col(flag), F.lit(False)))
 
 
@@ -107,17 +109,21 @@ def representative_cells(df: DataFrame, key: str, geometry: str, res: int) -> Da
 
 @F.pandas_udf(T.StringType())
 def st_union_agg(g: pd.Series) -> str:
-    """Collection of a group's shapes as one multipolygon, equal members once; overlaps stay as they are."""
+    """Union of a group's areas, overlaps counted once, as a multipolygon."""
     r = G.decode_wkt(list(dict.fromkeys(t for t in g if t)))
-    parts = [t.split(" ", 1)[1] for t in G.encode_wkt(r) if t and t.startswith("POLYGON (")]
-    parts += [p for t in G.encode_wkt(r) if t and t.startswith("MULTIPOLYGON (") for p in [t[len("MULTIPOLYGON (") : -1]]]
-    return "MULTIPOLYGON (" + ", ".join(parts) + ")" if parts else None
+    e = G.filled_edges(r)
+    return st.overlay([st.edges_of(e, k) for k in range(r.n) if e.count[k]], True)
+
 
+def group_by_cells(df: DataFrame, cell: str, area: str, geometry: str, parts: int = 64) -> DataFrame:
+    """Count, sum and mean of area, the dissolved shapes and the cell's border, by cell.
 
-def group_by_cells(df: DataFrame, cell: str, area: str, geometry: str) -> DataFrame:
-    """Count, sum and mean of area, the shapes collected and the cell's border, by cell."""
+    Shapes are dissolved in ``parts`` parts of a cell, told by a hash of the shape, and then the parts'
+    unions, so a crowded cell isn't one task's.
+    """
     numbers = df.groupBy(cell).agg(F.count("*").alias("n"), F.sum(area).alias("total_area"), F.avg(area).alias("mean_area"))
-    shapes = df.groupBy(cell).agg(st_union_agg(F.col(geometry)).alias("shapes"))
+    some = df.withColumn("__s", F.pmod(F.xxhash64(geometry), F.lit(parts))).groupBy(cell, "__s").agg(st_union_agg(F.col(geometry)).alias("__u"))
+    shapes = some.groupBy(cell).agg(st_union_agg(F.col("__u")).alias("shapes"))
     return numbers.join(shapes, cell).withColumn("cell_geometry", H.cell_to_boundary_wkt(cell))
 
 
@@ -129,26 +135,25 @@ def partition_level(area_deg2: Column) -> Column:
 # --- the older consolidation ---------------------------------------------------------------
 
 
-def greedy_dedup(df: DataFrame, key: str, geometry: str, threshold: float = 0.5, cell: float = 0.01) -> DataFrame:
+def greedy_dedup(df: DataFrame, key: str, geometry: str, threshold: float = 0.5) -> DataFrame:
     """Equal geometries once (smallest key), then of every pair that shares more than ``threshold`` of the smaller one the larger goes, of equal areas the one with the larger key."""
     once = R.best_match(df.filter(F.col(geometry).isNotNull()), [geometry], [F.col(key).asc()])
-    m = once.withColumn("__m", measures(F.col(geometry), "area_deg2", "xmin", "ymin", "xmax", "ymax")).filter("__m.area_deg2 > 0")
-    ren = lambda p: m.select(F.col(key).alias(f"{p}k"), F.col(geometry).alias(f"{p}g"), F.col("__m.area_deg2").alias(f"{p}a"), *[F.col(f"__m.{c}").alias(f"{p}{c}") for c in ("xmin", "ymin", "xmax", "ymax")])
-    box = lambda p: tuple(f"{p}{c}" for c in ("xmin", "ymin", "xmax", "ymax"))
-    pairs = R.rectangles_join(ren("a"), ren("b"), box("a"), box("b"), cell).filter("ak < bk")
-    close = (F.least("axmax", "bxmax") - F.greatest("axmin", "bxmin")) * (F.least("aymax", "bymax") - F.greatest("aymin", "bymin")) > threshold * F.least("aa", "ba")
-    hit = pairs.filter(close).withColumn("c", st.st_intersection_area("ag", "bg")).filter(F.col("c") / F.least("aa", "ba") > threshold)
-    gone = hit.select(F.when(F.col("aa") > F.col("ba"), F.col("ak")).otherwise(F.col("bk")).alias(key)).distinct()
+    m = cut(once.withColumn("__m", measures(F.col(geometry), "area_deg2", "xmin", "ymin", "xmax", "ymax")).filter("__m.area_deg2 > 0"))
+    edges = ("xmin", "ymin", "xmax", "ymax")
+    boxes = lambda p: m.select(F.col(key).alias(f"{p}id"), *[F.col(f"__m.{c}").alias(f"{p}{c}") for c in edges])
+    pairs = box_pairs(boxes("a"), boxes("b")).filter("aid < bid")
+    shape = lambda p: m.select(F.col(key).alias(f"{p}id"), F.col(geometry).alias(f"{p}g"), F.col("__m.area_deg2").alias(f"{p}a"))
+    hit = pairs.join(shape("a"), "aid").join(shape("b"), "bid").withColumn("c", st.st_intersection_area("ag", "bg")).filter(F.col("c") / F.least("aa", "ba") > threshold)
+    gone = hit.select(F.when(F.col("aa") > F.col("ba"), F.col("aid")).otherwise(F.col("bid")).alias(key)).distinct()
     return once.join(gone, key, "left_anti")
 
 
 def legacy_record(df: DataFrame, dataset: str, ids: list[str], keep: list[str], geometry: str = "geometry") -> DataFrame:
-    """Projection of one source: a stable id from its own ids or, without any, from its content; measures; polygons only."""
-    own = R.candidate(df, ids, "string")
-    content = F.concat_ws("_", F.lit(dataset), *[F.col(f"`{c}`").cast("string") for c in sorted(df.columns)])
-    m = df.withColumns({"__m": measures(F.col(geometry), "cx", "cy"), "__k": st.st_geometrytype(F.col(geometry))})
-    return m.filter(F.col("__k").isin("POLYGON", "MULTIPOLYGON")).select(
-        F.sha2(F.coalesce(F.concat_ws("_", F.lit(dataset), own), content), 256).alias("unified_id") if not ids else F.sha2(F.when(own.isNotNull(), F.concat_ws("_", F.lit(dataset), own)).otherwise(content), 256).alias("unified_id"),
+    """Projection of one source: polygons only, measures, and sha256 of id and dataset; rows without an id get ``NO_ID_`` and a number of their own."""
+    m = df.withColumns({"__own": R.candidate(df, ids, "string"), "__m": measures(F.col(geometry), "cx", "cy"), "__k": st.st_geometrytype(F.col(geometry))})
+    m = R.numbered_ids(m.filter(F.col("__k").isin("POLYGON", "MULTIPOLYGON")), "__own")
+    return m.select(
+        F.sha2(F.concat_ws("_", F.col("__own"), F.lit(dataset)), 256).alias("unified_id"),
         F.lit(dataset).alias("dataset"),
         st.st_area_mercator(F.col(geometry)).alias("area_m2"),
         st.st_area_spheroid(F.col(geometry)).alias("spheroid_area"),
@@ -159,6 +164,11 @@ def legacy_record(df: DataFrame, dataset: str, ids: list[str], keep: list[str],
     )
 
 
+def excluded_kinds(df: DataFrame, geometry: str = "geometry") -> DataFrame:
+    """Number of rows of each geometry type that :func:`legacy_record` leaves out."""
+    return df.groupBy(st.st_geometrytype(F.col(geometry)).alias("kind")).agg(F.count("*").alias("n")).filter("kind IS NULL OR kind NOT IN ('POLYGON', 'MULTIPOLYGON')")
+
+
 def readable_files(spark: SparkSession, paths: list[str], required: list[str]) -> list[str]:
     """Parquet files whose schema holds every required column; only footers are read."""
     return [p for p in paths if set(required) <= set(spark.read.parquet(p).columns)]

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from heliolake.operators.relational import ladder, ratio
 
 #: Fixed values of the reference's rules.
-ADMIN_PRIORITY = {"localadmin": 5, "locality": 5, "county": 4, "region": 3, "country": 2, "dependency": 1}
+ADMIN_PRIORITY = {"localadmin": 5, "county": 4, "region": 3, "country": 2, "dependency": 1}
 ADOPTION = [(1, "No PV"), (100, "Low PV"), (1000, "Medium PV"), (10000, "High PV")]
 DEDUP_RESOLUTION, OVERLAP_THRESHOLD = 12, 0.5
 #: Average cell areas in km² by resolution, from which an adaptive resolution is picked.

@@ -3,21 +3,65 @@
 from __future__ import annotations
 
 from functools import reduce
+from hashlib import md5
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from heliolake.session import cut
+
 
 def union_by_name(frames: list[DataFrame], schema: T.StructType | None = None) -> DataFrame:
     """Union by column name; columns that a frame lacks are typed nulls. Without frames, an empty one of ``schema``."""
     if not frames:
-        if schema is None:
-            raise ValueError("no frames and no schema")
-        raise ValueError("an empty union needs a session: use spark.createDataFrame([], schema)")
+        spark = SparkSession.getActiveSession()
+        if schema is None or spark is None:
+            raise ValueError("no frames, and no schema or session for an empty one")
+        return spark.createDataFrame([], schema)
     return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), frames)
 
 
+def union_all(frames: list[DataFrame]) -> DataFrame:
+    """Union by position, as SQL's UNION ALL: the names are the first frame's; other numbers of columns are an error."""
+    return reduce(lambda a, b: a.union(b), frames)
+
+
+def numbered_ids(df: DataFrame, column: str, prefix: str = "NO_ID_") -> DataFrame:
+    """Null ids become the prefix and a number of their own, from 1 in no given order, without a single task for all rows.
+
+    Rows without an id are counted by partition first; each partition numbers its own from there.
+    """
+    part = cut(df.withColumn("__p", F.spark_partition_id()))
+    none = part.filter(F.col(column).isNull())
+    before = Window.orderBy("__p").rowsBetween(Window.unboundedPreceding, -1)
+    starts = none.groupBy("__p").agg(F.count("*").alias("__c")).select("__p", F.coalesce(F.sum("__c").over(before), F.lit(0)).alias("__s"))  # one row a partition
+    own = F.row_number().over(Window.partitionBy("__p").orderBy(F.monotonically_increasing_id()))
+    numbered = none.join(F.broadcast(starts), "__p").withColumn(column, F.concat(F.lit(prefix), (F.col("__s") + own).cast("string"))).select(*df.columns)
+    return part.filter(F.col(column).isNotNull()).select(*df.columns).unionByName(numbered)
+
+
+def bernoulli(df: DataFrame, share: float, key: str | None = None, seed: int = 42) -> DataFrame:
+    """Each row with the given chance; by a hash of ``key`` the same rows on every run."""
+    return df.sample(False, share, seed) if key is None else df.filter(F.pmod(F.xxhash64(F.lit(seed), F.col(key)), F.lit(1_000_000)) < share * 1_000_000)
+
+
+def shuffled(df: DataFrame, key: str, seed: int = 42) -> DataFrame:
+    """All rows in a random order that a seed decides, by range partitions."""
+    return df.orderBy(F.xxhash64(F.lit(seed), F.col(key)), key)
+
+
+def deleted_where_not_in(df: DataFrame, kept: DataFrame, key: str) -> DataFrame:
+    """What DELETE ... WHERE key NOT IN (SELECT key FROM kept) leaves: nothing goes where the comparison is unknown."""
+    gone = not_in(df.select(key), kept, key).distinct()
+    return df.join(gone, df[key].eqNullSafe(gone[key]), "left_anti")
+
+
+def structure_hash(df: DataFrame) -> str:
+    """md5 of the number of rows and the sorted column names."""
+    return md5(f"{df.count()}:{sorted(df.columns)}".encode()).hexdigest()
+
+
 def best_match(df: DataFrame, key: list[str], order: list[Column]) -> DataFrame:
     """The first row of each key in a total order."""
     return df.withColumn("__rn", F.row_number().over(Window.partitionBy(*key).orderBy(*order))).filter("__rn = 1").drop("__rn")
@@ -97,21 +141,6 @@ def boxes_join(points: DataFrame, boxes: DataFrame, x: str, y: str, box: tuple[s
     return p.join(b, (F.col("__gx") == F.col("__bx")) & (F.col("__gy") == F.col("__by")) & inside, how).drop("__gx", "__gy", "__bx", "__by")
 
 
-def rectangles_join(a: DataFrame, b: DataFrame, box_a: tuple[str, str, str, str], box_b: tuple[str, str, str, str], cell: float) -> DataFrame:
-    """Pairs of boxes with a common point; each pair is kept only in the cell of the common part's lower left corner."""
-
-    def celled(df: DataFrame, box: tuple[str, str, str, str], p: str) -> DataFrame:
-        x0, y0, x1, y1 = (F.col(c) for c in box)
-        df = df.withColumn(f"__{p}x", F.explode(F.sequence(F.floor(x0 / cell), F.floor(x1 / cell))))
-        return df.withColumn(f"__{p}y", F.explode(F.sequence(F.floor(y0 / cell), F.floor(y1 / cell))))
-
-    left, low = F.greatest(F.col(box_a[0]), F.col(box_b[0])), F.greatest(F.col(box_a[1]), F.col(box_b[1]))
-    right, high = F.least(F.col(box_a[2]), F.col(box_b[2])), F.least(F.col(box_a[3]), F.col(box_b[3]))
-    met = celled(a, box_a, "a").join(celled(b, box_b, "b"), (F.col("__ax") == F.col("__bx")) & (F.col("__ay") == F.col("__by")))
-    met = met.filter((left <= right) & (low <= high) & (F.floor(left / cell) == F.col("__ax")) & (F.floor(low / cell) == F.col("__ay")))
-    return met.drop("__ax", "__ay", "__bx", "__by")
-
-
 def summary_of(df: DataFrame, column: str) -> DataFrame:
     """Count, nulls, distinct values, extremes, mean, deviation and quartiles of a numeric column, as one row."""
     c = F.col(column)

@@ -29,6 +29,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_type
 
 from heliolake.functions import geometry as G
 from heliolake.functions.geometry import EARTH_RADIUS_M
@@ -196,7 +197,7 @@ def containing_regions(points: DataFrame, key: str, lon: str, lat: str, regions:
         if m.has[i] and e.count[i]:
             c = cover(e, vertical, i, (m.xmin[i], m.ymin[i], m.xmax[i], m.ymax[i]))
             covers.append((i, np.array([a for a, _, _ in c], np.int64), np.array([b for _, b, _ in c], np.int64), np.array([k for _, _, k in c], bool)))
-    names = [r[0] for r in rows]
+    names, name_type = [r[0] for r in rows], to_arrow_type(regions.schema[region_key].dataType)
     schema = f"{key} {dict(points.dtypes)[key]}, {region_key} {dict(regions.dtypes)[region_key]}"
 
     def assign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -222,6 +223,6 @@ def containing_regions(points: DataFrame, key: str, lon: str, lat: str, regions:
                     where.append(np.full(len(p), i))
             if who:
                 p, w = np.concatenate(who), np.concatenate(where)
-                yield pa.RecordBatch.from_arrays([b.column(0).take(pa.array(p)), pa.array(names).take(pa.array(w))], names=[key, region_key])
+                yield pa.RecordBatch.from_arrays([b.column(0).take(pa.array(p)), pa.array(names, name_type).take(pa.array(w))], names=[key, region_key])
 
     return points.select(key, lon, lat).mapInArrow(assign, schema)

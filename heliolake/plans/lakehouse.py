@@ -14,14 +14,16 @@ from heliolake.functions.geo_columns import measures, with_position
 from heliolake.operators import products as P
 from heliolake.operators import relational as R
 from heliolake.operators import spatial
+from heliolake.operators.geojoin import spatial_join, spatial_join_within_distance  # noqa: F401
+from heliolake.session import cut
 from heliolake.sources.tables import read_table
 
-#: Candidate columns of the staging record, in order.
+#: Candidate columns of the staging record, in order; names that only these tables have come after.
 CANDIDATES = {
-    "unified_id": ["osm_id", "polygon_id", "FID_Train", "OID_", "sol_id", "unique_id", "fid", "id"],
-    "source_area_m2": ["area_sqm", "area_meters", "area_m2", "panels_area", "area", "Area"],
-    "capacity_mw": ["capacity_mw", "capacity_osm_MWp", "capacity_repd_MWp", "power"],
-    "install_date": ["install_date", "osm_tag_start_date", "repd_operational_date"],
+    "unified_id": ["fid", "sol_id", "GID_0", "polygon_id", "unique_id", "osm_id", "FID_PV_202"] + ["FID_Train", "OID_", "id"],
+    "source_area_m2": ["Shape_Area", "Area", "area_sqm", "panels.area", "area"] + ["area_meters", "area_m2"],
+    "capacity_mw": ["capacity_mw", "power", "capacity"] + ["capacity_osm_MWp", "capacity_repd_MWp"],
+    "install_date": ["install_date", "installation_date", "Date"] + ["osm_tag_start_date", "repd_operational_date"],
 }
 KINDS = {"unified_id": "string", "source_area_m2": "double", "capacity_mw": "double", "install_date": "string"}
 RAW = ("raw_uk_crowdsourced_pv_2020", "raw_usa_cali_usgs_pv_2016", "raw_chn_med_res_pv_2024")
@@ -84,58 +86,18 @@ def dedup_by_cell(df: DataFrame) -> DataFrame:
     Rows without a cell or geometry are dropped; rows without an id are never removed; rows that
     share an id within a dataset go together. Pairs of different cells are never compared.
     """
-    rows = df.filter("cell IS NOT NULL AND geometry IS NOT NULL AND geometry <> ''")
-    boxed = rows.withColumn("__b", measures(F.col("geometry"), "area_deg2", "xmin", "ymin", "xmax", "ymax"))
-    ren = lambda p: boxed.select("cell", F.col("dataset_name").alias(f"{p}_dataset"), F.col("unified_id").alias(f"{p}_id"), F.col("area_m2").alias(f"{p}_area"), F.col("geometry").alias(f"{p}_g"), F.col("__b").alias(f"{p}_b"))
+    rows = cut(df.withColumn("__id", F.monotonically_increasing_id()).filter("cell IS NOT NULL AND geometry IS NOT NULL AND geometry <> ''").withColumn("__b", measures(F.col("geometry"), "area_deg2", "xmin", "ymin", "xmax", "ymax")))
+    ren = lambda p: rows.select("cell", F.col("__id").alias(p), F.col("dataset_name").alias(f"{p}_dataset"), F.col("unified_id").alias(f"{p}_id"), F.col("area_m2").alias(f"{p}_area"), F.col("__b").alias(f"{p}_b"))
     a, b = ren("a"), ren("b").filter("b_id IS NOT NULL")
     aa, ba = F.coalesce("a_area", F.lit(float("-inf"))), F.coalesce("b_area", F.lit(float("-inf")))
     width = F.least("a_b.xmax", "b_b.xmax") - F.greatest("a_b.xmin", "b_b.xmin")
     height = F.least("a_b.ymax", "b_b.ymax") - F.greatest("a_b.ymin", "b_b.ymin")
     pairs = a.join(b, "cell").filter((F.col("a_dataset") != F.col("b_dataset")) & ((aa < ba) | ((aa == ba) & (F.col("a_dataset") > F.col("b_dataset")))) & (width > 0) & (height > 0) & (width * height > P.OVERLAP_THRESHOLD * F.least("a_b.area_deg2", "b_b.area_deg2")))
-    tested = pairs.withColumn("common", st.st_intersection_area("a_g", "b_g")).withColumns({"a_size": F.col("a_b.area_deg2"), "b_size": F.col("b_b.area_deg2")})
+    # only ids, boxes and areas meet by cell; the shapes are fetched for the pairs that are left
+    shape = lambda p: rows.select(F.col("__id").alias(p), F.col("geometry").alias(f"{p}_g"))
+    tested = pairs.join(shape("a"), "a").join(shape("b"), "b").withColumn("common", st.st_intersection_area("a_g", "b_g")).withColumns({"a_size": F.col("a_b.area_deg2"), "b_size": F.col("b_b.area_deg2")})
     gone = P.removed_by_overlap(tested)
-    return rows.join(gone.select(F.col("dataset").alias("dataset_name"), F.col("id").alias("unified_id")), ["dataset_name", "unified_id"], "left_anti")
-
-
-def spatial_join(left: DataFrame, right: DataFrame, on: tuple[str, str], predicate: Callable[[Column, Column], Column] = st.st_intersects, how: str = "inner", cell: float | None = None) -> DataFrame:
-    """Join on an exact geometry predicate through grid cells of the boxes.
-
-    Both sides are covered by cells of about the median box; a pair meets in one cell only, boxes
-    are compared in the JVM, and what is left is tested in Arrow batches. Left, semi and anti joins
-    follow from the surviving pairs by an equi-join on the row's own key.
-    """
-    lg, rg = on
-    side = lambda df, g, p: df.withColumn(f"__{p}b", measures(F.col(g), "xmin", "ymin", "xmax", "ymax")).filter(f"__{p}b.xmin IS NOT NULL").withColumns({f"__{p}{k}": F.col(f"__{p}b.{k}") for k in ("xmin", "ymin", "xmax", "ymax")}).drop(f"__{p}b")
-    keyed = left.withColumn("__lid", F.monotonically_increasing_id()) if how != "inner" else left
-    if how != "inner":
-        from heliolake.session import cut_table
-
-        keyed = cut_table(keyed)  # the row numbers must be the same on every read
-    a, b = side(keyed, lg, "l"), side(right, rg, "r")
-    if cell is None:
-        extent = F.greatest(F.col("__rxmax") - F.col("__rxmin"), F.col("__rymax") - F.col("__rymin"))
-        cell = float(b.agg(F.percentile_approx(extent, 0.5)).first()[0] or 1.0) or 1.0
-    box = lambda p: tuple(f"__{p}{k}" for k in ("xmin", "ymin", "xmax", "ymax"))
-    met = R.rectangles_join(a, b, box("l"), box("r"), max(cell, 1e-4)).filter(predicate(F.col(lg), F.col(rg))).drop(*box("l"), *box("r"))
-    if how == "inner":
-        return met
-    hits = met.select("__lid").distinct()
-    if how == "left_semi":
-        return keyed.join(hits, "__lid", "left_semi").drop("__lid")
-    if how == "left_anti":
-        return keyed.join(hits, "__lid", "left_anti").drop("__lid")
-    if how != "left":
-        raise ValueError(f"unsupported join: {how}")
-    return keyed.join(met.select("__lid", *right.columns), "__lid", "left").drop("__lid")
-
-
-def spatial_join_within_distance(left: DataFrame, right: DataFrame, on: tuple[str, str], distance: float, cell: float = 1.0) -> DataFrame:
-    """Pairs whose geometries are at most ``distance`` apart, in the units of the coordinates."""
-    grown = measures(F.col(on[0]), "xmin", "ymin", "xmax", "ymax")
-    a = left.withColumn("__m", grown).filter("__m.xmin IS NOT NULL").withColumns({"__lx0": F.col("__m.xmin") - distance, "__ly0": F.col("__m.ymin") - distance, "__lx1": F.col("__m.xmax") + distance, "__ly1": F.col("__m.ymax") + distance}).drop("__m")
-    b = right.withColumn("__n", measures(F.col(on[1]), "xmin", "ymin", "xmax", "ymax")).filter("__n.xmin IS NOT NULL").withColumns({"__rx0": F.col("__n.xmin"), "__ry0": F.col("__n.ymin"), "__rx1": F.col("__n.xmax"), "__ry1": F.col("__n.ymax")}).drop("__n")
-    met = R.rectangles_join(a, b, ("__lx0", "__ly0", "__lx1", "__ly1"), ("__rx0", "__ry0", "__rx1", "__ry1"), max(cell, distance))
-    return met.filter(st.st_dwithin(distance)(F.col(on[0]), F.col(on[1]))).drop("__lx0", "__ly0", "__lx1", "__ly1", "__rx0", "__ry0", "__rx1", "__ry1")
+    return rows.drop("__id", "__b").join(gone.select(F.col("dataset").alias("dataset_name"), F.col("id").alias("unified_id")), ["dataset_name", "unified_id"], "left_anti")
 
 
 # --- queries -------------------------------------------------------------------------------

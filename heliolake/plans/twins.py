@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from heliolake.operators import products as P
 from heliolake.operators import relational as R
+from heliolake.operators.geojoin import box_pairs
 from heliolake.sources.tables import read_table as table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -159,9 +160,9 @@ def monthly_series(spark: SparkSession, sf: str) -> DataFrame:
 # --- joins ---------------------------------------------------------------------------------
 
 
-@twin("""SELECT c_custkey, c_name FROM customer WHERE NOT EXISTS (SELECT 1 FROM orders WHERE o_custkey = c_custkey)""")
+@twin("""SELECT c_custkey, c_name FROM customer WHERE NOT EXISTS (SELECT 1 FROM orders WHERE o_custkey = c_custkey AND o_totalprice > 300000)""")
 def anti_join(spark: SparkSession, sf: str) -> DataFrame:
-    o = table(spark, sf, "orders", "o_custkey").withColumnRenamed("o_custkey", "c_custkey")
+    o = table(spark, sf, "orders", "o_custkey", "o_totalprice").filter("o_totalprice > 300000").select(F.col("o_custkey").alias("c_custkey"))
     return table(spark, sf, "customer", "c_custkey", "c_name").join(o, "c_custkey", "left_anti")
 
 
@@ -171,10 +172,10 @@ def semi_join(spark: SparkSession, sf: str) -> DataFrame:
     return table(spark, sf, "customer", "c_custkey", "c_mktsegment").join(o, "c_custkey", "left_semi")
 
 
-@twin("""SELECT CASE WHEN c_custkey % 10 = 0 THEN NULL ELSE c_custkey END AS k FROM customer WHERE CASE WHEN c_custkey % 10 = 0 THEN NULL ELSE c_custkey END NOT IN (SELECT o_custkey FROM orders)""")
+@twin("""SELECT CASE WHEN c_custkey % 10 = 0 THEN NULL ELSE c_custkey END AS k FROM customer WHERE CASE WHEN c_custkey % 10 = 0 THEN NULL ELSE c_custkey END NOT IN (SELECT o_custkey FROM orders WHERE o_totalprice > 300000)""")
 def not_in(spark: SparkSession, sf: str) -> DataFrame:
     k = table(spark, sf, "customer", "c_custkey").select(F.when(F.col("c_custkey") % 10 != 0, F.col("c_custkey")).alias("k"))
-    return R.not_in(k, table(spark, sf, "orders", "o_custkey").withColumnRenamed("o_custkey", "k"), "k")
+    return R.not_in(k, table(spark, sf, "orders", "o_custkey", "o_totalprice").filter("o_totalprice > 300000").select(F.col("o_custkey").alias("k")), "k")
 
 
 @twin(f"""SELECT c.c_custkey, b.region_no FROM ({LONLAT}) c JOIN (SELECT r_regionkey AS region_no, CAST(r_regionkey*60-150 AS DOUBLE) AS xmin, CAST(r_regionkey*60-110 AS DOUBLE) AS xmax, CAST(r_regionkey*20-60 AS DOUBLE) AS ymin, CAST(r_regionkey*20-10 AS DOUBLE) AS ymax FROM region) b
@@ -329,7 +330,11 @@ _BOTH = f"SELECT c.id AS customer_id, p.id AS part_id FROM ({RECT_CUSTOMER}) c J
 
 def _both(spark: SparkSession, sf: str) -> DataFrame:
     ren = lambda which, p: rects(spark, sf, which).select(*[F.col(c).alias(p + c) for c in ("id", "x0", "y0", "x1", "y1")])
-    return R.rectangles_join(ren("customer", "c"), ren("part", "p"), ("cx0", "cy0", "cx1", "cy1"), ("px0", "py0", "px1", "py1"), 16.0)
+    c, p = ren("customer", "c"), ren("part", "p")
+    edges = (("x0", "xmin"), ("y0", "ymin"), ("x1", "xmax"), ("y1", "ymax"))
+    boxes = lambda df, p, q: df.select(F.col(f"{p}id").alias(f"{q}id"), *[F.col(p + c).cast("double").alias(q + n) for c, n in edges])
+    met = box_pairs(boxes(c, "c", "a"), boxes(p, "p", "b")).select(F.col("aid").alias("cid"), F.col("bid").alias("pid"))
+    return met.join(c, "cid").join(p, "pid")
 
 
 @twin(_BOTH + "c.x0 <= p.x1 AND p.x0 <= c.x1 AND c.y0 <= p.y1 AND p.y0 <= c.y1")

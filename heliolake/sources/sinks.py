@@ -1,17 +1,20 @@
-"""Writers: tables, GeoParquet with a covering box, GeoJSON lines, CSV, guarded and versioned writes."""
+"""Writers: tables, GeoParquet with a covering box, GeoJSON lines, guarded and versioned writes; CSV and others are in :mod:`heliolake.sources.catalog`."""
 
 from __future__ import annotations
 
 import json
 import uuid
+from collections.abc import Iterator
 from datetime import datetime, timezone
 from pathlib import Path
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from heliolake.functions import st
 from heliolake.functions.geo_columns import measures
+from heliolake.session import cut
 
 
 def save_table(df: DataFrame, name: str, partition_by: list[str] | None = None, mode: str = "overwrite") -> int:
@@ -36,15 +39,73 @@ def geo_metadata(kinds: list[str], bbox: list[float] | None = None) -> str:
     return json.dumps({"version": "1.1.0", "primary_column": "geometry", "columns": {"geometry": column}})
 
 
+#: Names of the geometry types in a footer.
+FOOTER_KINDS = {"POINT": "Point", "LINESTRING": "LineString", "POLYGON": "Polygon", "MULTIPOINT": "MultiPoint", "MULTILINESTRING": "MultiLineString", "MULTIPOLYGON": "MultiPolygon", "GEOMETRYCOLLECTION": "GeometryCollection"}
+
+
 def write_geoparquet(df: DataFrame, path: str, geometry: str = "geometry", compression: str = "zstd", sort: bool = True) -> None:
-    """Parquet with WKB, box and ``geo`` metadata, in Hilbert order of the boxes so that their statistics prune."""
-    out = geoparquet_frame(df, geometry)
+    """Parquet with WKB, box and the ``geo`` entry in every file's footer, in Hilbert order of the boxes so that their statistics prune.
+
+    Types and bounds are found in one aggregate over the frame, which is written once before, so that its geometries
+    are decoded once. Spark can't name footer entries of its own, so each file is stamped by a task afterwards.
+    """
+    out = cut(geoparquet_frame(df, geometry))
+    facts = out.agg(F.collect_set(st.st_geometrytype("geometry")), *[f(f"bbox.{k}") for f, k in ((F.min, "xmin"), (F.min, "ymin"), (F.max, "xmax"), (F.max, "ymax"))]).first()  # at most seven types
+    kinds = sorted(FOOTER_KINDS[k] for k in facts[0] if k in FOOTER_KINDS)
+    meta = geo_metadata(kinds, list(facts[1:]) if facts[1] is not None else None)
     if sort:
         code = st.st_hilbert((F.col("bbox.xmin") + F.col("bbox.xmax")) / 2, (F.col("bbox.ymin") + F.col("bbox.ymax")) / 2)
         out = out.withColumn("__h", code).repartitionByRange("__h").sortWithinPartitions("__h").drop("__h")
-    schema = out.schema
-    schema["geometry"].metadata = {"geo": geo_metadata([])}
-    out.to(schema).write.mode("overwrite").option("compression", compression).parquet(path)
+    out.write.mode("overwrite").option("compression", compression).parquet(path)
+    _stamp(df.sparkSession, path, meta)
+
+
+def _stamp(spark: SparkSession, path: str, meta: str) -> None:
+    """Rewrite each file with the ``geo`` entry in its footer, one task a file, beside it and then renamed; rows and row groups stay."""
+    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+    root = jvm.org.apache.hadoop.fs.Path(path)
+    fs = root.getFileSystem(conf)
+    files = [str(s.getPath().toString()) for s in fs.listStatus(root) if s.getPath().getName().endswith(".parquet")]
+
+    def stamp(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        from pyarrow import fs as F_
+        from pyarrow import parquet as pq
+
+        for b in batches:
+            for name in b.column(0).to_pylist():
+                store, place = F_.FileSystem.from_uri(name if "://" in name else name.replace("file:", "file://", 1))
+                with store.open_input_file(place) as f:
+                    source = pq.ParquetFile(f)
+                    schema = source.schema_arrow.with_metadata({**(source.schema_arrow.metadata or {}), b"geo": meta.encode()})
+                    codec = source.metadata.row_group(0).column(0).compression if source.metadata.num_row_groups else "zstd"
+                    with store.open_output_stream(place + ".stamped") as o, pq.ParquetWriter(o, schema, compression=codec) as w:
+                        for k in range(source.metadata.num_row_groups):
+                            w.write_table(source.read_row_group(k).cast(schema))
+                store.move(place + ".stamped", place)
+                check = "/".join([*place.split("/")[:-1], "." + place.split("/")[-1] + ".crc"])
+                if store.get_file_info(check).type == F_.FileType.File:  # the checksum of the file as it was
+                    store.delete_file(check)
+                yield pa.RecordBatch.from_arrays([pa.array([name])], names=["file"])
+
+    if files:
+        spark.createDataFrame([(f,) for f in files], "file string").repartition(len(files)).mapInArrow(stamp, "file string").count()
+
+
+def geo_footer(spark: SparkSession, path: str) -> dict:
+    """The ``geo`` entry of the first file under a path, as readers find it; an error if there is none."""
+    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+    root = jvm.org.apache.hadoop.fs.Path(path)
+    for s in root.getFileSystem(conf).listStatus(root):
+        if s.getPath().getName().endswith(".parquet"):
+            reader = jvm.org.apache.parquet.hadoop.ParquetFileReader.open(jvm.org.apache.parquet.hadoop.util.HadoopInputFile.fromPath(s.getPath(), conf))
+            try:
+                entry = reader.getFooter().getFileMetaData().getKeyValueMetaData().get("geo")
+            finally:
+                reader.close()
+            if entry is None:
+                raise ValueError(f"no geo entry in {s.getPath().toString()}")
+            return json.loads(entry)
+    raise ValueError(f"no Parquet file in {path}")
 
 
 def geojson_lines(df: DataFrame, geometry: str = "geometry") -> DataFrame:

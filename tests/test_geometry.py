@@ -162,3 +162,67 @@ def test_cells(spark):
     area = H.cell_area_km2(5) * len(cells[0].c)
     assert area == pytest.approx(2 * 2 * 111.2**2 * math.cos(math.radians(11)), rel=0.05)
     assert cells[1].c is None and cells[2].c == []
+
+
+def test_distances_of_a_batch_against_single_pairs():
+    import random as rnd
+
+    from heliolake.functions import st
+
+    rnd.seed(3)
+    shapes = [box(x, y, x + rnd.uniform(0.1, 2), y + rnd.uniform(0.1, 2)) for x, y in ((rnd.uniform(0, 9), rnd.uniform(0, 9)) for _ in range(60))]
+    shapes += ["POINT (3 3)", "LINESTRING (0 0, 5 5)", "POLYGON EMPTY", "MULTIPOINT (1 1, 8 8)"]
+    a, b = G.decode_wkt(shapes), G.decode_wkt(shapes[::-1])
+    together = st.min_distance(a, b, np.zeros(len(shapes), bool), chunk=7)
+    for k, (p, q) in enumerate(zip(shapes, shapes[::-1])):
+        alone = st.min_distance(G.decode_wkt([p]), G.decode_wkt([q]), np.zeros(1, bool))[0]
+        assert np.isnan(alone) == np.isnan(together[k]) and (np.isnan(alone) or alone == pytest.approx(together[k]))
+    one = st.min_distance(G.decode_wkt([box(0, 0, 1, 1)]), G.decode_wkt([box(4, 5, 6, 6)]), np.zeros(1, bool))
+    assert one[0] == pytest.approx(5)
+
+
+def test_validity_of_long_and_nested_rings(spark):
+    import resource
+
+    from heliolake.functions import st
+
+    t = np.linspace(0, 2 * np.pi, 50_001)
+    ring = ", ".join(f"{10 * np.cos(v):.9f} {10 * np.sin(v):.9f}" for v in t[:-1])
+    first = ring.split(", ")[0]
+    before = resource.getrusage(resource.RUSAGE_SELF).ru_maxrss
+    assert len(st.crossing_rows(G.decode_wkt([f"POLYGON (({ring}, {first}))"]))) == 0
+    assert resource.getrusage(resource.RUSAGE_SELF).ru_maxrss - before < 500_000
+    texts = [
+        "POLYGON ((0 0, 4 0, 4 4, 0 4, 0 0), (1 1, 2 1, 2 2, 1 2, 1 1))",
+        "POLYGON ((0 0, 4 0, 4 4, 0 4, 0 0), (9 9, 9.5 9, 9.5 9.5, 9 9))",  # a hole beside its shell
+        "POLYGON ((0 0, 4 0, 4 4, 0 4, 0 0), (3 1, 6 1, 6 2, 3 2, 3 1))",  # a hole that crosses it
+        "POLYGON ((0 0, 4 4, 4 0, 0 4, 0 0))",
+        "MULTIPOLYGON (((0 0, 2 0, 2 2, 0 2, 0 0)), ((1 1, 3 1, 3 3, 1 3, 1 1)))",
+        "POLYGON EMPTY",
+        None,
+    ]
+    df = spark.createDataFrame(list(enumerate(texts)), "k int, g string")
+    got = {r.k: r.v for r in df.select("k", st.st_isvalid("g").alias("v")).collect()}
+    assert got == {0: True, 1: False, 2: False, 3: False, 4: False, 5: True, 6: None}
+
+
+def test_overlays_against_areas():
+    import random as rnd
+
+    from heliolake.functions import st
+
+    rnd.seed(9)
+
+    def star(x, y):
+        n = rnd.randrange(3, 9)
+        pts = [(x + rnd.uniform(0.5, 2) * np.cos(2 * np.pi * k / n), y + rnd.uniform(0.5, 2) * np.sin(2 * np.pi * k / n)) for k in range(n)]
+        return "POLYGON ((" + ", ".join(f"{u:.6f} {v:.6f}" for u, v in [*pts, pts[0]]) + "))"
+
+    for _ in range(40):
+        e = G.filled_edges(G.decode_wkt([star(0, 0), star(rnd.uniform(0, 2), rnd.uniform(0, 2))]))
+        k = np.array([0])
+        m = [G.measure(G.decode_wkt([st.overlay([st.edges_of(e, 0), st.edges_of(e, 1)], u)])).area_deg2[0] for u in (False, True)]
+        common = G.common_area(e, e, k, k + 1)[0]
+        both = sum(G.common_area(e, e, k + i, k + i)[0] for i in (0, 1))
+        assert m[0] == pytest.approx(common, abs=1e-9) and m[1] == pytest.approx(both - common, abs=1e-9)
+    assert st.overlay([], True) == "MULTIPOLYGON EMPTY"

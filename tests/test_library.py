@@ -118,15 +118,37 @@ def test_dedup_semantics(spark):
 def test_spatial_join_kinds(spark):
     a = spark.createDataFrame([(1, box(0, 0, 2, 2)), (2, box(10, 10, 11, 11)), (3, None)], "id int, g string")
     b = spark.createDataFrame([(7, box(1, 1, 3, 3)), (8, box(0, 0, 50, 1.5)), (9, "POLYGON EMPTY")], "rid int, h string")
-    run = lambda how: sorted((r.id, r.asDict().get("rid")) for r in L.spatial_join(a, b, ("g", "h"), how=how, cell=1.0).collect())
+    run = lambda how: sorted((r.id, r.asDict().get("rid")) for r in L.spatial_join(a, b, ("g", "h"), how=how).collect())
     assert run("inner") == [(1, 7), (1, 8)] and run("left") == [(1, 7), (1, 8), (2, None), (3, None)]
     assert [k for k, _ in run("left_semi")] == [1] and [k for k, _ in run("left_anti")] == [2, 3]
-    near = L.spatial_join_within_distance(a, b, ("g", "h"), 8.6, 4.0).select("id", "rid").collect()
+    near = L.spatial_join_within_distance(a, b, ("g", "h"), 8.6, degrees=True).select("id", "rid").collect()
     assert sorted(map(tuple, near)) == [(1, 7), (1, 8), (2, 8)]
-    plan = L.spatial_join(a, b, ("g", "h"), cell=1.0)._jdf.queryExecution().toString()
+    metres = lambda m: sorted(map(tuple, L.spatial_join_within_distance(a, b, ("g", "h"), m).select("id", "rid").collect()))
+    assert metres(900_000) == [(1, 7), (1, 8)] and metres(960_000) == [(1, 7), (1, 8), (2, 8)]
+    # clashing names, and rows that occur twice
+    same = L.spatial_join(a.unionByName(a), a, ("g", "g"))
+    assert same.columns == ["id", "g", "id_right", "g_right"] and sorted((r.id, r.id_right) for r in same.collect()) == [(1, 1), (1, 1), (2, 2), (2, 2)]
+    with pytest.raises(ValueError):
+        L.spatial_join(a, b, ("g", "h"), how="cross")
+    plan = L.spatial_join(a, b, ("g", "h"))._jdf.queryExecution().toString()
     assert "BroadcastNestedLoopJoin" not in plan and "CartesianProduct" not in plan
 
 
+def test_large_and_small_boxes_take_few_cells(spark, monkeypatch):
+    """Countries against buildings: a box stands in four cells a level at most, on whichever side it is."""
+    from heliolake.operators import geojoin
+
+    small = [(k, (k * 37 % 1000) / 20.0, (k * 53 % 1000) / 40.0) for k in range(2000)]
+    a = spark.createDataFrame([(k, x, y, x + 0.001, y + 0.001) for k, x, y in small] + [(-1, -60.0, -30.0, 60.0, 30.0)], "aid long, axmin double, aymin double, axmax double, aymax double")
+    b = spark.createDataFrame([(k, 10.0 * (k % 6) - 5, 5.0 * (k % 5) - 5, 10.0 * (k % 6) + 25, 5.0 * (k % 5) + 10) for k in range(30)] + [(k, x + 0.0005, y, x + 0.0015, y + 0.001) for k, x, y in small[:500] if k >= 30], "bid long, bxmin double, bymin double, bxmax double, bymax double")
+    got = sorted(map(tuple, geojoin.box_pairs(a, b).collect()))
+    ra, rb = a.collect(), b.collect()
+    want = sorted((p[0], q[0]) for p in ra for q in rb if p[1] <= q[3] and q[1] <= p[3] and p[2] <= q[4] and q[2] <= p[4])
+    assert got == want
+    levels = sorted({r[0] for r in b.withColumn("k", geojoin._own_level("b")).select("k").collect()} | {r[0] for r in a.withColumn("k", geojoin._own_level("a")).select("k").collect()})
+    assert 4 * len(levels) * (len(ra) + len(rb)) <= 20 * (len(ra) + len(rb))
+
+
 def test_adaptive_resolution(spark):
     df = spark.createDataFrame([(v,) for v in (None, 0.0, 0.5, 100.0, 1e6, 1e14, 1e18)], "a double")
     assert [r[0] for r in df.select(P.adaptive_resolution(F.col("a"))).collect()] == [15, 15, 15, 12, 7, 0, 0]
