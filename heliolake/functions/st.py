@@ -430,7 +430,10 @@ def st_within(a: pa.Array, b: pa.Array) -> pa.Array:
     fa = p.ma.area_deg2
     areal = (fa > 0) & (p.common >= fa * (1 - EPS))
     one = np.isin(p.a.kinds, ("POINT", "MULTIPOINT"))
-    point = one & p.ma.has & G.points_in(p.eb, p.k, np.nan_to_num(p.ma.cx), np.nan_to_num(p.ma.cy))
+    point = one & p.ma.has
+    if point.any():
+        row = p.a.row[p.a.ring]
+        np.logical_and.at(point, row, G.points_in(p.eb, row, p.a.x, p.a.y))
     line = np.isin(p.a.kinds, ("LINESTRING", "MULTILINESTRING")) & p.inside(False)
     if line.any():
         seg, _, count = _segments(p.a)

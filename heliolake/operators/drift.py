@@ -252,8 +252,8 @@ def canonical_names(change_list: DataFrame) -> DataFrame:
     return moved.groupBy("dataset_name").applyInPandas(_canonical, "dataset_name string, from_no int, name string, canonical string")
 
 
-def unified(lines: DataFrame, record: str = "record_id") -> DataFrame:
-    """All files as one table: ``dataset_name, source_file, record, fields`` with a map from canonical name to value as text."""
+def _called(lines: DataFrame, record: str) -> tuple[DataFrame, DataFrame]:
+    """(``dataset_name, file_no, rec, called, type, value`` of every field under its canonical name, files)."""
     change_list, files, fields = changes(lines, record)
     names = cut(canonical_names(change_list))
     # the names that hold from the last renaming file up to each file
@@ -264,8 +264,42 @@ def unified(lines: DataFrame, record: str = "record_id") -> DataFrame:
     taken = valid.select("dataset_name", "file_no", F.col("canonical").alias("name"), F.lit(True).alias("taken")).distinct()
     out = fields.join(valid, ["dataset_name", "file_no", "name"], "left").join(taken, ["dataset_name", "file_no", "name"], "left")
     called = F.coalesce("canonical", F.when(F.col("taken"), F.concat("name", F.lit("#2"))).otherwise(F.col("name")))
-    listed = F.array_sort(F.collect_list(F.struct(called.alias("k"), F.col("value").alias("v"))))
+    return out.select("dataset_name", "file_no", "rec", called.alias("called"), "type", "value"), files
+
+
+def unified(lines: DataFrame, record: str = "record_id") -> DataFrame:
+    """All files as one table: ``dataset_name, source_file, record, fields`` with a map from canonical name to value as text."""
+    out, files = _called(lines, record)
+    listed = F.array_sort(F.collect_list(F.struct(F.col("called").alias("k"), F.col("value").alias("v"))))
     entries = F.map_from_entries(F.filter(listed, lambda e, i: (i == 0) | (F.get(listed, i - 1)["k"] != e["k"])))
     # one record has a handful of fields: the list is bounded by the payload's own size
     table = out.groupBy("dataset_name", "file_no", "rec").agg(entries.alias("fields"))
     return table.join(files.select("dataset_name", "file_no", "source_file"), ["dataset_name", "file_no"]).select("dataset_name", "source_file", F.col("rec").alias(record), "fields")
+
+
+def unified_tables(lines: DataFrame, record: str = "record_id") -> dict[str, DataFrame]:
+    """One table of typed columns for each dataset: ``dataset_name, source_file, record`` and the fields by canonical name.
+
+    A field's column has the widest JSON type of its values: double or boolean if all are, else text (objects and arrays as
+    JSON). Names that differ from an earlier one only by case, or are those of the first three columns, get a number.
+    """
+    out, files = _called(lines, record)
+    out = cut(out)
+    kinds = out.filter("type IS NOT NULL").groupBy("dataset_name", "called").agg(F.min("type").alias("a"), F.max("type").alias("b"))
+    tables = {}
+    # the columns of the tables, which the driver needs to name them: names of fields, not records
+    listed = out.select("dataset_name", "called").distinct().join(kinds, ["dataset_name", "called"], "left").orderBy("dataset_name", "called").collect()
+    for dataset in dict.fromkeys(r.dataset_name for r in listed):
+        used, columns = {"dataset_name", "source_file", record.lower()}, []
+        for r in (r for r in listed if r.dataset_name == dataset):
+            name, n = r.called, 1
+            while name.lower() in used:
+                n += 1
+                name = f"{r.called}#{n}"
+            used.add(name.lower())
+            kind = {"number": "double", "boolean": "boolean"}.get(r.a if r.a == r.b else "", "string")
+            columns.append(F.max(F.when(F.col("called") == r.called, F.col("value"))).try_cast(kind).alias(name))
+        rows = out.filter(F.col("dataset_name") == dataset).groupBy("dataset_name", "file_no", "rec").agg(*columns)
+        named = rows.join(files.select("dataset_name", "file_no", "source_file"), ["dataset_name", "file_no"])
+        tables[dataset] = named.select("dataset_name", "source_file", F.col("rec").alias(record), *[F.col(f"`{c}`") for c in rows.columns[3:]])
+    return tables

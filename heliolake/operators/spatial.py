@@ -11,8 +11,8 @@ only from the lower code, so no pair is met twice and none has to be removed.
 
 Regions. Each region is covered by the cells of a quadtree on longitude and latitude: ranges
 of Morton codes, marked as lying inside the region or on its border. Regions are a dimension
-table; the number of ranges a region may have is a parameter, so what is broadcast is bounded
-by regions times ranges. Each point's code is looked up in the sorted ranges by binary search,
+table; their number is checked, and that of ranges a region may have is a parameter, so what travels with
+the tasks is bounded by regions times ranges; more regions go through a join of boxes. Each point's code is looked up in the sorted ranges by binary search,
 and only points in border cells are tested against the polygon.
 
 Defined results: rows with null or empty geometries have no position, hence no pair and no
@@ -32,7 +32,9 @@ from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_type
 
 from heliolake.functions import geometry as G
+from heliolake.functions import st
 from heliolake.functions.geometry import EARTH_RADIUS_M
+from heliolake.operators.geojoin import spatial_join
 from heliolake.session import cut
 
 _SPREAD_3 = ((32, 0x1F00000000FFFF), (16, 0x1F0000FF0000FF), (8, 0x100F00F00F00F00F), (4, 0x10C30C30C30C30C3), (2, 0x1249249249249249))
@@ -103,6 +105,8 @@ def near_pairs(df: DataFrame, key: str, lon: str, lat: str, distance_m: float) -
 
 #: Depth of the quadtree; its finest cells are about 0.0003 degrees wide.
 DEPTH = 20
+#: Most regions that are collected and covered on the driver.
+DRIVER_REGIONS = 5000
 #: Most cell ranges that one region's cover may have.
 RANGES = 48
 
@@ -184,9 +188,17 @@ def cover(e: G.Edges, vertical: tuple[np.ndarray, ...], row: int, box: tuple[flo
 def containing_regions(points: DataFrame, key: str, lon: str, lat: str, regions: DataFrame, region_key: str, geometry: str) -> DataFrame:
     """``key, region_key`` for each region that contains each point.
 
-    ``regions`` is a dimension table (some hundreds of rows, whatever the number of points); it
-    is covered once on the driver and travels with the tasks.
+    Regions are counted first. Up to ``DRIVER_REGIONS`` they are covered once on the driver and travel with the
+    tasks; more of them meet the points by the join of boxes in cells, tested exactly as well.
     """
+    if regions.count() > DRIVER_REGIONS:
+        dot = F.concat(F.lit("POINT ("), F.col(lon).cast("string"), F.lit(" "), F.col(lat).cast("string"), F.lit(")"))
+        there = F.col(lon).isNotNull() & F.col(lat).isNotNull() & ~F.isnan(lon) & ~F.isnan(lat)
+        dots = points.filter(there).select(F.col(key).alias("__key"), dot.alias("__dot"))
+        met = spatial_join(dots, regions.select(F.col(region_key).alias("__region"), F.col(geometry).alias("__shape")), ("__dot", "__shape"), st.st_within)
+        # shapes beyond 180 degrees also hold the positions one turn west of them
+        again = spatial_join(points.filter(there & (F.col(lon) < 0)).select(F.col(key).alias("__key"), F.concat(F.lit("POINT ("), (F.col(lon) + 360).cast("string"), F.lit(" "), F.col(lat).cast("string"), F.lit(")")).alias("__dot")), regions.select(F.col(region_key).alias("__region"), F.col(geometry).alias("__shape")), ("__dot", "__shape"), st.st_within)
+        return met.unionByName(again).select(F.col("__key").alias(key), F.col("__region").alias(region_key))
     rows = regions.select(region_key, geometry).collect()
     blobs = [r[1] for r in rows]
     rings = G.decode_wkb(blobs) if dict(regions.dtypes)[geometry] == "binary" else G.decode_wkt(blobs)

@@ -6,9 +6,11 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from heliolake.functions.geo_columns import measures, with_position
 from heliolake.operators import drift, skew, spatial
+from heliolake.operators import relational as R
 from heliolake.operators import timestamps
 from heliolake.operators import units as U
 from heliolake.sources.tables import read_table
@@ -142,8 +144,18 @@ def p3_found(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def p3_unified(spark: SparkSession, sf: str) -> DataFrame:
-    """One consistent table of all delivered records, under canonical names."""
-    return drift.unified(deliveries(spark, sf))
+    """All delivered records under canonical names: the typed tables of the datasets, below each other.
+
+    A field that two datasets have with different types is text here; each table by itself keeps its types.
+    """
+    tables = list(drift.unified_tables(deliveries(spark, sf)).values())
+    kinds: dict[str, set[str]] = {}
+    for t in tables:
+        for name, kind in t.dtypes:
+            kinds.setdefault(name.lower(), set()).add(kind)
+    first = {name.lower(): name for t in reversed(tables) for name in t.columns}
+    same = [t.select(*[(F.col(f"`{c}`").cast("string") if len(kinds[c.lower()]) > 1 else F.col(f"`{c}`")).alias(first[c.lower()]) for c in t.columns]) for t in tables]
+    return R.union_by_name(same, T.StructType([T.StructField("dataset_name", T.StringType())]))
 
 
 QUERIES |= {"p3_found": p3_found, "p3_changes": p3_changes, "p3_unified": p3_unified}

@@ -9,11 +9,15 @@ import sqlite3
 import struct
 import tarfile
 import zipfile
+from collections.abc import Iterator
+from itertools import islice, repeat
 from pathlib import Path
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_schema
 
 #: Names of vector files.
 VECTOR_SUFFIXES = (".geojson", ".json", ".gpkg", ".shp", ".kml", ".gml")
@@ -117,22 +121,44 @@ def geojson_to_wkt(text):  # noqa: ANN001, ANN201
     return text.map(lambda t: geometry_text(json.loads(t)) if t else None)
 
 
+#: Rows that a task reads of one file, and rows of a batch on the way.
+TASK_ROWS, BATCH_ROWS = 500_000, 4096
+
+
+def _batches(rows: Iterator[tuple], schema: pa.Schema) -> Iterator[pa.RecordBatch]:
+    while some := list(islice(rows, BATCH_ROWS)):
+        yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*some), schema.types)], schema=schema)
+
+
 def read_gpkg(spark: SparkSession, path: str, table: str | None = None) -> DataFrame:
     """One layer of a GeoPackage: its columns as text and ``geometry`` as WKB.
 
-    A GeoPackage is one SQLite file and is read by one process; use it at the edge and write
-    Parquet from it.
+    The driver reads names and the largest row number only; each task reads ``TASK_ROWS`` rows of the file,
+    which all executors must see under the same path.
     """
     con = sqlite3.connect(f"file:{path}?mode=ro", uri=True)
     try:
         layer, column = con.execute("SELECT table_name, column_name FROM gpkg_geometry_columns" + (" WHERE table_name = ?" if table else " ORDER BY table_name LIMIT 1"), (table,) if table else ()).fetchone()
-        cur = con.execute(f'SELECT * FROM "{layer}"')
-        names = [d[0] for d in cur.description]
-        rows = [tuple(_gpkg_wkb(v) if n == column else None if v is None else str(v) for n, v in zip(names, row)) for row in cur]
+        names = [d[0] for d in con.execute(f'SELECT * FROM "{layer}" LIMIT 0').description]
+        low, high = con.execute(f'SELECT min(rowid), max(rowid) FROM "{layer}"').fetchone()
     finally:
         con.close()
     schema = T.StructType([T.StructField("geometry" if n == column else n, T.BinaryType() if n == column else T.StringType()) for n in names])
-    return spark.createDataFrame(rows, schema)
+    if low is None:
+        return spark.createDataFrame([], schema)
+    form = to_arrow_schema(schema)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            for start in b.column(0).to_pylist():
+                own = sqlite3.connect(f"file:{path}?mode=ro", uri=True)
+                try:
+                    cur = own.execute(f'SELECT * FROM "{layer}" WHERE rowid >= ? AND rowid < ?', (start, start + TASK_ROWS))
+                    yield from _batches((tuple(_gpkg_wkb(v) if n == column else None if v is None else str(v) for n, v in zip(names, row)) for row in cur), form)
+                finally:
+                    own.close()
+
+    return spark.range(low, high + 1, TASK_ROWS, max(1, (high - low) // TASK_ROWS + 1)).mapInArrow(run, schema)
 
 
 def _gpkg_wkb(blob: bytes | None) -> bytes | None:
@@ -143,16 +169,27 @@ def _gpkg_wkb(blob: bytes | None) -> bytes | None:
 
 
 def read_shapefile(spark: SparkSession, path: str) -> DataFrame:
-    """Points and polygons of a shapefile with its attributes as text: a ``.shp`` beside a ``.dbf``."""
-    shp, dbf = Path(path), Path(path).with_suffix(".dbf")
-    shapes, data, at = [], shp.read_bytes(), 100
-    while at + 8 <= len(data):
-        (words,) = struct.unpack_from(">i", data, at + 4)
-        shapes.append(_shape(data[at + 8 : at + 8 + 2 * words]))
-        at += 8 + 2 * words
-    names, rows = _dbf(dbf.read_bytes()) if dbf.exists() else ([], [() for _ in shapes])
-    schema = T.StructType([*[T.StructField(n, T.StringType()) for n in names], T.StructField("geometry", T.StringType())])
-    return spark.createDataFrame([(*r, s) for r, s in zip(rows, shapes)], schema)
+    """Points and polygons of a shapefile with its attributes as text: a ``.shp`` beside a ``.dbf``.
+
+    The driver reads the attributes' names only; one task reads the file from front to back, shape by shape.
+    """
+    dbf = Path(path).with_suffix(".dbf")
+    fields = _dbf_fields(dbf)[0] if dbf.exists() else []
+    schema = T.StructType([*[T.StructField(n, T.StringType()) for n, _ in fields], T.StructField("geometry", T.StringType())])
+    form = to_arrow_schema(schema)
+
+    def shapes() -> Iterator[str | None]:
+        with open(path, "rb") as f:
+            f.seek(100)
+            while len(head := f.read(8)) == 8:
+                yield _shape(f.read(2 * struct.unpack(">i", head[4:])[0]))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for _ in batches:
+            rows = _dbf_rows(dbf) if fields else repeat(())
+            yield from _batches(((*r, s) for r, s in zip(rows, shapes())), form)
+
+    return spark.range(1).repartition(1).mapInArrow(run, schema)
 
 
 def _shape(b: bytes) -> str | None:
@@ -176,20 +213,29 @@ def _shape(b: bytes) -> str | None:
     return "MULTIPOLYGON (" + ", ".join("(" + ", ".join(q) + ")" for q in polygons) + ")"
 
 
-def _dbf(b: bytes) -> tuple[list[str], list[tuple]]:
-    n, head, size = struct.unpack_from("<IHH", b, 4)
+def _dbf_fields(path: Path) -> tuple[list[tuple[str, int]], tuple[int, int, int]]:
+    """((name, width) of the fields, (rows, bytes before the first, bytes of one))."""
+    with open(path, "rb") as f:
+        b = f.read(32)
+        n, head, size = struct.unpack_from("<IHH", b, 4)
+        b += f.read(head - 32)
     fields, at = [], 32
     while b[at] != 0x0D:
         fields.append((b[at : at + 11].split(b"\0")[0].decode("latin-1"), b[at + 16]))
         at += 32
-    rows = []
-    for k in range(n):
-        pos, row = head + k * size + 1, []
-        for _, width in fields:
-            row.append(b[pos : pos + width].decode("utf-8", "replace").strip() or None)
-            pos += width
-        rows.append(tuple(row))
-    return [f for f, _ in fields], rows
+    return fields, (n, head, size)
+
+
+def _dbf_rows(path: Path) -> Iterator[tuple]:
+    fields, (n, head, size) = _dbf_fields(path)
+    with open(path, "rb") as f:
+        f.seek(head)
+        for _ in range(n):
+            b, pos, row = f.read(size), 1, []
+            for _, width in fields:
+                row.append(b[pos : pos + width].decode("utf-8", "replace").strip() or None)
+                pos += width
+            yield tuple(row)
 
 
 def read_boxes(spark: SparkSession, path: str) -> DataFrame:

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import json
+import shutil
 import uuid
 from collections.abc import Iterator
 from datetime import datetime, timezone
@@ -147,13 +148,17 @@ class Versions:
         tmp.rename(self.root / "_snapshots.json")
 
     def write(self, df: DataFrame, now: datetime | None = None, skip_unchanged: bool = True) -> dict | None:
-        """A new snapshot; None if the content is that of the current one."""
-        rows, sum_ = checksum(df)
+        """A new snapshot; None if the content is that of the current one.
+
+        The plan runs once: rows are counted and summed over the written files.
+        """
         old = self._load()
-        if skip_unchanged and old and (old[-1]["rows"], old[-1]["checksum"]) == (rows, sum_):
-            return None
         folder = f"v{len(old) + 1:06d}-{uuid.uuid4().hex[:8]}"
         df.write.parquet(str(self.root / folder))
+        rows, sum_ = checksum(self.spark.read.schema(df.schema).parquet(str(self.root / folder)))
+        if skip_unchanged and old and (old[-1]["rows"], old[-1]["checksum"]) == (rows, sum_):
+            shutil.rmtree(self.root / folder)
+            return None
         snap = {"snapshot_id": (old[-1]["snapshot_id"] if old else 0) + 1, "folder": folder, "rows": rows, "checksum": sum_, "created_at": (now or datetime.now(timezone.utc)).isoformat()}
         self._store([*old, snap])
         return snap
@@ -180,8 +185,6 @@ class Versions:
 
     def cleanup(self, dry_run: bool = True) -> list[str]:
         """Version folders that no snapshot refers to; removed unless dry."""
-        import shutil
-
         kept = {s["folder"] for s in self._load()}
         gone = sorted(p.name for p in self.root.iterdir() if p.is_dir() and p.name.startswith("v") and p.name not in kept) if self.root.exists() else []
         if not dry_run:

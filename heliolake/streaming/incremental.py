@@ -1,7 +1,7 @@
 """Incremental ingest: a stream of delivered files into a versioned table.
 
-The reference materialises tables incrementally but streams nothing; this is the same product
-with Structured Streaming's file source, one upsert a micro-batch.
+Structured Streaming's file source, one upsert a micro-batch. Each upsert writes a whole new version of the
+table, so batches should be large against the table.
 """
 
 from __future__ import annotations

@@ -260,6 +260,29 @@ def test_unified(spark):
     assert by[21]["cap"] == "6.25" and by[41]["cap"] == "12.5" and by[41]["cap#2"] == "new"
 
 
+def test_unified_tables_have_typed_columns(spark):
+    files = [("f0", records(0, 20)), ("f1", records(5, 20, {"cap": "power"}, id=str)), ("f2", [r | {"cap": "new", "NAME": {"a": 1}, "record_id": None} for r in records(10, 20, {"cap": "power"})])]
+    tables = drift.unified_tables(spark.createDataFrame(lines_of(files), LINES))
+    t = tables["ds"]
+    assert list(tables) == ["ds"] and dict(t.dtypes) == {"dataset_name": "string", "source_file": "string", "record_id": "bigint", "NAME": "string", "cap": "double", "cap#2": "string", "id": "string", "name#2": "string", "ok": "boolean", "record_id#2": "string"}
+    rows = {r.record_id: r for r in t.collect()}
+    assert len(rows) == 60 and rows[21]["cap"] == 6.25 and rows[41]["cap#2"] == "new" and rows[41]["NAME"] == '{"a":1}' and rows[1]["ok"] is True and rows[1]["name#2"] == "site 0"
+    assert drift.unified_tables(spark.createDataFrame([], LINES)) == {}
+
+
+def test_many_regions_meet_points_by_boxes(spark, monkeypatch):
+    random.seed(21)
+    boxes = {k: (x := random.uniform(-179, 170), y := random.uniform(-80, 70), x + random.uniform(0.1, 9), y + random.uniform(0.1, 9)) for k in range(60)}
+    boxes[99] = (179.0, -5.0, 181.5, 5.0)
+    regions = spark.createDataFrame([(k, f"POLYGON (({a} {b}, {c} {b}, {c} {d}, {a} {d}, {a} {b}))") for k, (a, b, c, d) in boxes.items()], "division_id int, geometry string")
+    pts = [(k, random.uniform(-180, 180), random.uniform(-85, 85)) for k in range(800)] + [(900, -179.2, 0.0), (901, 179.7, 0.0), (902, None, 1.0)]
+    df = spark.createDataFrame(pts, "row_id int, lon double, lat double")
+    run = lambda: sorted(map(tuple, spatial.containing_regions(df, "row_id", "lon", "lat", regions, "division_id", "geometry").collect()))
+    few = run()
+    monkeypatch.setattr(spatial, "DRIVER_REGIONS", 10)
+    assert run() == few and (900, 99) in few and (901, 99) in few
+
+
 @pytest.mark.parametrize("seed", range(5))
 def test_matching_is_optimal(seed):
     from itertools import permutations
