@@ -54,6 +54,9 @@ _SAFE_SPACE = re.compile(r"(?<=\S) ")
 #: What a run goes on with, by the kind of its characters.
 _KINDS = {"letters": regex.compile(r"\p{L}*"), "digits": regex.compile(r"\p{N}*"), "space": regex.compile(r"\s*"), "symbols": regex.compile(r"[^\s\p{L}\p{N}]*")}
 
+#: A token of one kind, with the space that may lead it.
+_ONE_KIND = regex.compile(r"(?P<space>\s+)| ?(?:(?P<letters>\p{L}+)|(?P<digits>\p{N}+)|(?P<symbols>[^\s\p{L}\p{N}]+))")
+
 
 def kind_of(char: str) -> str:
     """The kind of run that a character stands in."""
@@ -74,8 +77,8 @@ def token_lengths(ranks: dict[bytes, int]) -> dict[str, list[int]]:
     lengths: dict[str, set[int]] = {k: {1} for k in _KINDS}
     for token in ranks:
         try:
-            text = token.decode("utf-8")
-            kinds = [k for k, p in _KINDS.items() if p.fullmatch(text[1:] if text[:1] == " " and len(text) > 1 and text[1] != " " else text)]
+            m = _ONE_KIND.fullmatch(token.decode("utf-8"))
+            kinds = [m.lastgroup] if m else []
         except UnicodeDecodeError:
             kinds = list(_KINDS)
         for k in kinds:
