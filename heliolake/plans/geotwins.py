@@ -20,7 +20,7 @@ from heliolake.operators import spatial
 from heliolake.operators.geojoin import spatial_join, spatial_join_within_distance
 from heliolake.plans import lakehouse, twins
 from heliolake.plans.twins import LONLAT, RECT_CUSTOMER, RECT_PART, lonlat, rects
-from heliolake.session import shared_dir
+from heliolake.session import own_folder
 from heliolake.sources import catalog, sinks
 from heliolake.sources.tables import read_table as table
 
@@ -298,14 +298,10 @@ def theme_scan(spark: SparkSession, sf: str) -> DataFrame:
     return catalog.theme_scan(table(spark, sf, "overture_division_area", "division_id", "subtype", "theme", "bbox"), (-12, 35, 15, 60), "divisions").select("division_id", "subtype")
 
 
-def _folder(spark: SparkSession) -> str:
-    return f"{shared_dir(spark).rstrip('/')}/copy-{uuid.uuid4().hex}"
-
-
 @twin("SELECT o_orderkey, o_custkey, o_orderpriority FROM orders WHERE o_orderpriority IN ('1-URGENT', '5-LOW')")
 def partitioned_scan(spark: SparkSession, sf: str) -> DataFrame:
     """Folders by key, read again through a glob with two of them."""
-    path = _folder(spark)
+    path = own_folder(spark, "copy")
     catalog.copy_to(table(spark, sf, "orders", "o_orderkey", "o_custkey", "o_orderpriority"), path, compression="zstd", partition_by=["o_orderpriority"])
     return catalog.scan(spark, f"{path}/*", ["o_orderkey"]).filter(F.col("o_orderpriority").isin("1-URGENT", "5-LOW")).select("o_orderkey", "o_custkey", F.col("o_orderpriority").cast("string").alias("o_orderpriority"))
 
@@ -313,7 +309,7 @@ def partitioned_scan(spark: SparkSession, sf: str) -> DataFrame:
 @twin("SELECT c_custkey, c_name, c_acctbal FROM customer")
 def copy_csv(spark: SparkSession, sf: str) -> DataFrame:
     """CSV with a header, compressed, and back."""
-    path = _folder(spark)
+    path = own_folder(spark, "copy")
     catalog.copy_to(table(spark, sf, "customer", "c_custkey", "c_name", "c_acctbal"), path, "csv", "gzip")
     return catalog.csv_metadata(spark, path, "c_custkey bigint, c_name string, c_acctbal double")
 
@@ -321,7 +317,7 @@ def copy_csv(spark: SparkSession, sf: str) -> DataFrame:
 @twin(f"SELECT id, CAST((x1-x0)*(y1-y0) AS DOUBLE) AS area, CAST(x0 AS DOUBLE) AS xmin, 'Polygon' AS kind FROM ({RECT_PART})")
 def geoparquet_round_trip(spark: SparkSession, sf: str) -> DataFrame:
     """GeoParquet and back, with the geometry types that its footers state."""
-    path = _folder(spark)
+    path = own_folder(spark, "copy")
     sinks.write_geoparquet(shapes(spark, sf, "part").select("id", "g"), path, "g")
     kinds = ",".join(sinks.geo_footer(spark, path)["columns"]["geometry"]["geometry_types"])
     return spark.read.parquet(path).select("id", F.round(st.st_area("geometry"), 6).alias("area"), F.col("bbox.xmin").alias("xmin"), F.lit(kinds).alias("kind"))

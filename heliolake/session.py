@@ -67,6 +67,13 @@ def drop_tables() -> None:
     _made.clear()
 
 
+def own_folder(spark: SparkSession, kind: str = "table") -> str:
+    """A new name in the shared folder, removed with the tables of this process."""
+    path = f"{shared_dir(spark).rstrip('/')}/{kind}-{uuid.uuid4().hex}"
+    _made.append((spark, path))
+    return path
+
+
 def cut(df: DataFrame) -> DataFrame:
     """Write ``df`` once as Parquet into the shared folder and go on from the files.
 
@@ -75,9 +82,8 @@ def cut(df: DataFrame) -> DataFrame:
     time, this runs the plan once, adaptively, and later steps read only the columns they need.
     """
     spark = df.sparkSession
-    path = f"{shared_dir(spark).rstrip('/')}/table-{uuid.uuid4().hex}"
+    path = own_folder(spark)
     df.write.parquet(path)
-    _made.append((spark, path))
     return spark.read.schema(df.schema).parquet(path)
 
 
