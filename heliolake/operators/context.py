@@ -60,12 +60,15 @@ def layer_context(sites: DataFrame, layer: DataFrame, key: str, site_geometry: s
         there = sites.select(F.col(countries[0]).alias(countries[1])).distinct()
         own = layer.join(there, countries[1], "left_semi")
         layer = own if not own.isEmpty() else layer
-    right = layer.select(F.col(layer_key), F.col(layer_geometry).alias("__rg"), F.struct(*prefer).alias("__rank"), *[c for c in keep if c != layer_key])
-    met = spatial_join(sites.select(key, F.col(site_geometry).alias("__lg")), right, ("__lg", "__rg"), predicate_of(predicate))
-    # the best of each partition goes through the shuffle only; nulls rank last, equal ones go to the smallest key
     names = [layer_key, *[c for c in keep if c != layer_key]]
-    first = met.groupBy(key).agg(F.max("__rank").alias("__top"))
-    best = met.join(first, key).filter(F.col("__rank").eqNullSafe(F.col("__top"))).groupBy(key).agg(F.min_by(F.struct(*names), F.col(layer_key)).alias("__b")).select(key, *[f"__b.{c}" for c in names])
+    order = [F.col("__rank").desc(), F.col(layer_key).asc_nulls_last()]
+    # of equal shapes only the best one can be chosen, and sites of equal geometry have the same match, so distinct shapes are joined
+    right = layer.select(F.col(layer_geometry).alias("__rg"), F.struct(*prefer).alias("__rank"), *names)
+    right = R.best_match(right.filter(F.col("__rg").isNotNull()), ["__rg"], order)
+    left = cut(sites.select(key, F.col(site_geometry).alias("__lg")).filter(F.col("__lg").isNotNull()))
+    met = spatial_join(left.select("__lg").distinct(), right, ("__lg", "__rg"), predicate_of(predicate))
+    first = R.best_match(met.select("__lg", "__rank", *names), ["__lg"], order)
+    best = R.best_match(left.join(first, "__lg"), [key], order).select(key, *names)
     return sites.join(best.withColumn(flag, F.lit(True)), key, "left").withColumn(flag, F.coalesce(F.col(flag), F.lit(False)))
 
 

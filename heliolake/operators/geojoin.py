@@ -6,6 +6,9 @@ lower left corner of their common part, so each pair is met once, and neither a
 buildings nor a building among countries takes more than four cells a level. What moves through this
 join is an id and a box; geometries are fetched for the pairs whose boxes meet and tested in Arrow batches.
 
+Rows of equal boxes or equal geometries form a class, which is joined and tested once; its pairs are spelled out
+at the end, within the task that found them. So the work before the result follows the distinct shapes.
+
 Defined results: rows with null, unreadable or empty geometries meet nothing (left and anti joins keep
 them); equal rows meet as often as they occur; columns of the right side whose names the left one has get the suffix
 ``_right``; an empty side gives no pairs.
@@ -15,7 +18,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from heliolake.functions import st
@@ -25,6 +28,8 @@ from heliolake.session import cut
 #: Cell sizes are these powers of two: from about 1e-5 to 512 units of the coordinates.
 LEVELS = tuple(range(-17, 10, 2))
 BOX = ("xmin", "ymin", "xmax", "ymax")
+#: Most rows of one class: more equal rows form several, so that no row of a class grows with the table.
+MEMBERS = 1024
 
 
 def _size(level: Column) -> Column:
@@ -39,13 +44,19 @@ def _own_level(p: str) -> Column:
     return out
 
 
-def box_pairs(a: DataFrame, b: DataFrame) -> DataFrame:
-    """``aid, bid`` of the boxes that have a common point, each pair once.
+def _levels(df: DataFrame, p: str) -> list[int]:
+    return sorted(r[0] for r in df.select(_own_level(p).alias("level")).distinct().collect())  # at most len(LEVELS) numbers
 
-    ``a`` has the columns ``aid, axmin, aymin, axmax, aymax``, ``b`` likewise; both are read more than once.
-    """
+
+def _classes(df: DataFrame, by: list[str], row: Column, rows: str) -> DataFrame:
+    """One line for every ``MEMBERS`` rows that are equal in ``by``, with the array ``rows`` of their ``row``."""
+    number = F.row_number().over(Window.partitionBy(*by).orderBy(F.lit(0)))
+    return df.select(*by, row.alias("__row"), F.floor((number - 1) / MEMBERS).alias("__n")).groupBy(*by, "__n").agg(F.collect_list("__row").alias(rows)).drop("__n")
+
+
+def _meeting(a: DataFrame, b: DataFrame, levels: dict[str, list[int]]) -> DataFrame:
+    """The rows of ``a`` and ``b`` whose boxes (``axmin`` ..., ``bxmin`` ...) have a common point, each pair once, with all columns."""
     a, b = a.withColumn("alevel", _own_level("a")), b.withColumn("blevel", _own_level("b"))
-    levels = {p: sorted(r[0] for r in df.select(f"{p}level").distinct().collect()) for p, df in (("a", a), ("b", b))}  # at most len(LEVELS) numbers
 
     def celled(df: DataFrame, p: str, other: list[int]) -> DataFrame:
         own = F.col(f"{p}level")
@@ -64,18 +75,37 @@ def box_pairs(a: DataFrame, b: DataFrame) -> DataFrame:
         & (F.floor(left / size) == F.col("__x"))
         & (F.floor(low / size) == F.col("__y"))
     )
-    return met.select("aid", "bid")
+    return met.drop("__l", "__x", "__y", "alevel", "blevel")
+
 
+def box_pairs(a: DataFrame, b: DataFrame, where: Column | None = None) -> DataFrame:
+    """``aid, bid`` of the boxes that have a common point, each pair once; ``where`` is a further condition on the two boxes.
 
-def _keyed(df: DataFrame, geometry: str, key: str, grow: Column | float = 0.0) -> DataFrame:
-    """The rows with a number of their own and their box, written once."""
-    m = df.withColumns({key: F.monotonically_increasing_id(), "__m": measures(F.col(f"`{geometry}`"), "xmin", "ymin", "xmax", "ymax")})
-    return cut(m)
+    ``a`` has the columns ``aid, axmin, aymin, axmax, aymax``, ``b`` likewise.
+    """
+    sides = {}
+    for p, df in (("a", a), ("b", b)):
+        edges = [f"{p}{c}" for c in BOX]
+        sides[p] = cut(_classes(df.dropna(subset=edges), edges, F.struct(f"{p}id"), f"{p}rows").withColumn(f"__{p}id", F.monotonically_increasing_id()))
+    met = _meeting(sides["a"].drop("arows"), sides["b"].drop("brows"), {p: _levels(df, p) for p, df in sides.items()})
+    met = (met if where is None else met.filter(where)).select("__aid", "__bid")
+    met = met.join(sides["b"].select("__bid", "brows"), "__bid").join(sides["a"].select("__aid", "arows"), "__aid")
+    return met.select(F.explode("arows").alias("__a"), "brows").select("__a.aid", F.explode("brows").alias("__b")).select("aid", "__b.bid")
+
+
+def _keyed(df: DataFrame, geometry: str, p: str, nulls: bool) -> DataFrame:
+    """Classes of equal geometries with their number, box and members, written once. Without ``nulls`` rows without a geometry are left out; else they are spread, so that they aren't one task's."""
+    g = F.col(f"`{geometry}`")
+    others = [F.col(f"`{c}`") for c in df.columns if c != geometry] or [F.lit(True).alias("__only")]
+    named = df.select(g.alias(f"__{p}g"), F.struct(*others).alias("__own"), F.when(g.isNull(), F.pmod(F.monotonically_increasing_id(), F.lit(4096))).alias("__spread"))
+    named = named if nulls else named.filter(F.col(f"__{p}g").isNotNull())
+    c = _classes(named, [f"__{p}g", "__spread"], F.col("__own"), f"__{p}rows").drop("__spread")
+    return cut(c.withColumns({f"__{p}id": F.monotonically_increasing_id(), "__m": measures(F.col(f"__{p}g"), *BOX)}))
 
 
 def _boxes(keyed: DataFrame, key: str, p: str, dx: Column, dy: Column) -> DataFrame:
     edge = {"xmin": -dx, "ymin": -dy, "xmax": dx, "ymax": dy}
-    return keyed.filter("__m.xmin IS NOT NULL").select(F.col(key).alias(f"{p}id"), *[(F.col(f"__m.{k}") + edge[k]).alias(f"{p}{k}") for k in BOX])
+    return keyed.filter("__m.xmin IS NOT NULL").select(key, *[(F.col(f"__m.{k}") + edge[k]).alias(f"{p}{k}") for k in BOX])
 
 
 def spatial_join(left: DataFrame, right: DataFrame, on: tuple[str, str], predicate: Callable[[Column, Column], Column] = st.st_intersects, how: str = "inner", grow: tuple[Column, Column] | None = None) -> DataFrame:
@@ -86,18 +116,20 @@ def spatial_join(left: DataFrame, right: DataFrame, on: tuple[str, str], predica
     names = {c: f"{c}_right" if c in left.columns else c for c in right.columns}
     right = right.withColumnsRenamed({a: b for a, b in names.items() if a != b})
     rg = names[rg]
-    a, b = _keyed(left, lg, "__lid"), _keyed(right, rg, "__rid")
+    a, b = _keyed(left, lg, "l", how in ("left", "left_anti")), _keyed(right, rg, "r", False)
     zero = F.lit(0.0)
-    pairs = box_pairs(_boxes(a, "__lid", "a", *(grow or (zero, zero))), _boxes(b, "__rid", "b", zero, zero))
-    pairs = pairs.select(F.col("aid").alias("__lid"), F.col("bid").alias("__rid"))
-    if how == "inner":
-        met = pairs.join(a.drop("__m"), "__lid").join(b.drop("__m"), "__rid")
-        return met.filter(predicate(F.col(f"`{lg}`"), F.col(f"`{rg}`"))).select(*[F.col(f"`{c}`") for c in (*left.columns, *names.values())])
-    met = pairs.join(a.select("__lid", F.col(f"`{lg}`").alias("__g")), "__lid").join(b.select("__rid", F.col(f"`{rg}`").alias("__h")), "__rid")
-    met = met.filter(predicate(F.col("__g"), F.col("__h"))).select("__lid", "__rid")
-    if how != "left":
-        return a.drop("__m").join(met.select("__lid").distinct(), "__lid", how).select(*left.columns)
-    return a.drop("__m").join(met, "__lid", "left").join(b.drop("__m"), "__rid", "left").select(*[F.col(f"`{c}`") for c in (*left.columns, *names.values())])
+    boxes = {"a": _boxes(a, "__lid", "a", *(grow or (zero, zero))), "b": _boxes(b, "__rid", "b", zero, zero)}
+    pairs = _meeting(boxes["a"], boxes["b"], {p: _levels(df, p) for p, df in boxes.items()}).select("__lid", "__rid")
+    met = pairs.join(b.drop("__m"), "__rid").join(a.drop("__m"), "__lid").filter(predicate(F.col("__lg"), F.col("__rg")))
+    of = lambda p, g, columns: [F.col(f"__{p}g").alias(c) if c == g else F.col(f"__{p}row.`{c}`") for c in columns]
+    if how in ("left_semi", "left_anti"):
+        some = a.join(met.select("__lid").distinct(), "__lid", how)
+        return some.select("__lg", F.explode("__lrows").alias("__lrow")).select(*of("l", lg, left.columns))
+    if how == "left":
+        met = a.drop("__m").join(met.select("__lid", "__rid", "__rg", "__rrows"), "__lid", "left")
+    each = F.explode if how == "inner" else F.explode_outer
+    met = met.select("__lg", "__rg", F.explode("__lrows").alias("__lrow"), "__rrows").select("__lg", "__rg", "__lrow", each("__rrows").alias("__rrow"))
+    return met.select(*of("l", lg, left.columns), *of("r", rg, names.values()))
 
 
 def spatial_join_within_distance(left: DataFrame, right: DataFrame, on: tuple[str, str], distance_m: float = 1000.0, degrees: bool = False) -> DataFrame:
