@@ -41,6 +41,22 @@ def sides(spark, n):
     return spark.createDataFrame(a, "id long, g string"), spark.createDataFrame(b, "rid long, h string"), want
 
 
+@pytest.mark.parametrize("members", [7, 1024])
+def test_inner_tests_equal_geometries_once(spark, counted, monkeypatch, members):
+    monkeypatch.setattr(geojoin, "MEMBERS", members)
+    (of, seen), (a, b, want) = counted, sides(spark, 40)
+    got = geojoin.spatial_join(a, b, ("g", "h"), of(st.st_intersects))
+    assert got.columns == ["id", "g", "rid", "h"] and sorted((r.id, r.rid) for r in got.collect()) == want
+    assert seen.value <= 3 * (-(-40 // members)) ** 2
+
+
+def test_left_keeps_every_row(spark, monkeypatch):
+    monkeypatch.setattr(geojoin, "MEMBERS", 5)
+    a, b, want = sides(spark, 12)
+    got = sorted((r.id, r.rid) for r in geojoin.spatial_join(a, b.filter("rid % 3 < 2"), ("g", "h"), how="left").fillna(-9).collect())
+    assert got == sorted([p for p in want if p[0] % 2 == 0] + [(k, -9) for k in [-3, -2, -1, *range(1, 24, 2)]])
+
+
 def layer_of(spark, n):
     """n features each of two shapes: of the first the best is height 9 of smallest id, of the second area 50 without a height."""
     rows = [(k, box(0, 0, 5, 5), [None, 3.0, 9.0][k % 3], 25.0, f"c{k % 4}") for k in range(n)] + [(k, box(2, 2, 50, 50), None, 50.0, f"c{k % 4}") for k in range(n, 2 * n)]
