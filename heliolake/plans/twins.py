@@ -328,23 +328,20 @@ def pair_dedup_legacy(spark: SparkSession, sf: str) -> DataFrame:
 _BOTH = f"SELECT c.id AS customer_id, p.id AS part_id FROM ({RECT_CUSTOMER}) c JOIN ({RECT_PART}) p ON "
 
 
-def _both(spark: SparkSession, sf: str) -> DataFrame:
-    ren = lambda which, p: rects(spark, sf, which).select(*[F.col(c).alias(p + c) for c in ("id", "x0", "y0", "x1", "y1")])
-    c, p = ren("customer", "c"), ren("part", "p")
+def _both(spark: SparkSession, sf: str, where: Column | None = None) -> DataFrame:
     edges = (("x0", "xmin"), ("y0", "ymin"), ("x1", "xmax"), ("y1", "ymax"))
-    boxes = lambda df, p, q: df.select(F.col(f"{p}id").alias(f"{q}id"), *[F.col(p + c).cast("double").alias(q + n) for c, n in edges])
-    met = box_pairs(boxes(c, "c", "a"), boxes(p, "p", "b")).select(F.col("aid").alias("cid"), F.col("bid").alias("pid"))
-    return met.join(c, "cid").join(p, "pid")
+    boxes = lambda which, q: rects(spark, sf, which).select(F.col("id").alias(f"{q}id"), *[F.col(c).cast("double").alias(q + n) for c, n in edges])
+    return box_pairs(boxes("customer", "a"), boxes("part", "b"), where).select(F.col("aid").alias("customer_id"), F.col("bid").alias("part_id"))
 
 
 @twin(_BOTH + "c.x0 <= p.x1 AND p.x0 <= c.x1 AND c.y0 <= p.y1 AND p.y0 <= c.y1")
 def spatial_join_intersects(spark: SparkSession, sf: str) -> DataFrame:
-    return _both(spark, sf).select(F.col("cid").alias("customer_id"), F.col("pid").alias("part_id"))
+    return _both(spark, sf)
 
 
 @twin(_BOTH + "p.x0 >= c.x0 AND p.x1 <= c.x1 AND p.y0 >= c.y0 AND p.y1 <= c.y1")
 def spatial_join_within(spark: SparkSession, sf: str) -> DataFrame:
-    return _both(spark, sf).filter("px0 >= cx0 AND px1 <= cx1 AND py0 >= cy0 AND py1 <= cy1").select(F.col("cid").alias("customer_id"), F.col("pid").alias("part_id"))
+    return _both(spark, sf, F.expr("bxmin >= axmin AND bxmax <= axmax AND bymin >= aymin AND bymax <= aymax"))
 
 
 @twin(f"""SELECT part.id AS part_id, count(c.id) AS n FROM ({RECT_PART}) part LEFT JOIN ({RECT_CUSTOMER}) c ON (c.x0-part.x0)*(c.x0-part.x0) + (c.y0-part.y0)*(c.y0-part.y0) <= 25 GROUP BY 1""")

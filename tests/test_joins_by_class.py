@@ -10,6 +10,7 @@ from pyspark.sql import types as T
 from heliolake.functions import st
 from heliolake.operators import context as C
 from heliolake.operators import geojoin
+from heliolake.plans import twins
 
 
 def box(x0, y0, x1, y1):
@@ -79,3 +80,38 @@ def test_context_of_a_repeated_key(spark):
     sites = spark.createDataFrame([(1, box(3, 3, 4, 4)), (1, box(40, 40, 44, 44)), (2, None), (None, box(3, 3, 4, 4))], "id long, geometry string")
     got = C.layer_context(sites, layer_of(spark, 9), "id", "geometry", "shape", "fid", ["feature_area"], [F.col("feature_area")], "there").collect()
     assert sorted((r.id or 0, r.fid or 0, r.there) for r in got) == [(0, 0, False), (1, 9, True), (1, 9, True), (2, 0, False)]
+
+
+def joined_rows(df):
+    """Most rows that any join of the plan of ``df`` put out."""
+    df.write.format("noop").mode("overwrite").save()
+    plan = df._jdf.queryExecution().executedPlan()
+    plan.executeCollect()
+    out, todo = 0, [plan.executedPlan() if "AdaptiveSparkPlan" in plan.nodeName() else plan]
+    while todo:
+        p = todo.pop()
+        if "Join" in p.nodeName() and p.metrics().contains("numOutputRows"):
+            out = max(out, p.metrics().apply("numOutputRows").value())
+        if "QueryStage" in p.nodeName():
+            todo.append(p.plan())
+        children = p.children()
+        todo += [children.apply(k) for k in range(children.size())]
+    return out
+
+
+@pytest.mark.parametrize(("name", "n"), [("spatial_join_within", 50 * 100)])
+def test_boxes_of_equal_rows_are_joined_once(spark, tmp_path, monkeypatch, name, n):
+    """Keys that are alike modulo 8400 and 39600 have equal rectangles."""
+    spark.createDataFrame([(8400 * k,) for k in range(100)], "c_custkey long").write.parquet(f"{tmp_path}/customer.parquet")
+    spark.createDataFrame([(39600 * k,) for k in range(50)] + [(39600 * k + 1200,) for k in range(50)], "p_partkey long").write.parquet(f"{tmp_path}/part.parquet")
+    monkeypatch.setattr(geojoin, "MEMBERS", 64)
+    df = twins.QUERIES[name](spark, str(tmp_path))
+    got = sorted(map(tuple, df.collect()))
+    rects = {w: [tuple(r) for r in twins.rects(spark, str(tmp_path), w).select("id", "x0", "y0", "x1", "y1").collect()] for w in ("customer", "part")}
+    if name == "spatial_join_within":
+        meet = lambda c, p: p[1] >= c[1] and p[3] <= c[3] and p[2] >= c[2] and p[4] <= c[4]
+    else:
+        meet = lambda c, p: c[1] <= p[3] and p[1] <= c[3] and c[2] <= p[4] and p[2] <= c[4]
+    want = sorted((c[0], p[0]) for c in rects["customer"] for p in rects["part"] if meet(c, p))
+    assert got == want and len(want) == n
+    assert 0 < joined_rows(df) <= 2 * 2 * 2
