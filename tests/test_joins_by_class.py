@@ -64,7 +64,7 @@ def layer_of(spark, n):
     return spark.createDataFrame(rows, "fid long, shape string, height double, feature_area double, class string")
 
 
-@pytest.mark.parametrize(("prefer", "keep", "low", "high"), [(C.building_preference, ["height", "feature_area"], (2, 9.0, 25.0), (60, None, 50.0))], ids=["buildings"])
+@pytest.mark.parametrize(("prefer", "keep", "low", "high"), [(C.building_preference, ["height", "feature_area"], (2, 9.0, 25.0), (60, None, 50.0)), (lambda: [F.col("feature_area")], ["class", "feature_area"], (60, "c0", 50.0), (60, "c0", 50.0))], ids=["buildings", "land_use"])
 def test_context_tests_equal_geometries_once(spark, counted, monkeypatch, prefer, keep, low, high):
     of, seen = counted
     monkeypatch.setitem(C.PREDICATES, "intersects", of(st.st_intersects))
