@@ -58,6 +58,16 @@ def test_left_keeps_every_row(spark, monkeypatch):
     assert got == sorted([p for p in want if p[0] % 2 == 0] + [(k, -9) for k in [-3, -2, -1, *range(1, 24, 2)]])
 
 
+def test_distance_tests_equal_geometries_once(spark, counted, monkeypatch):
+    (of, seen), (a, b, _) = counted, sides(spark, 40)
+    within = st.st_dwithin
+    monkeypatch.setattr(st, "st_dwithin", lambda *d, **k: of(within(*d, **k)))
+    b = spark.createDataFrame([(k, box(7, 8, 9, 9)) for k in range(120)], "rid long, h string")
+    near = lambda d: geojoin.spatial_join_within_distance(a, b, ("g", "h"), d, degrees=True).count()
+    assert near(5.0) == 40 * 120 and seen.value <= 1
+    assert near(4.9) == 0
+
+
 def layer_of(spark, n):
     """n features each of two shapes: of the first the best is height 9 of smallest id, of the second area 50 without a height."""
     rows = [(k, box(0, 0, 5, 5), [None, 3.0, 9.0][k % 3], 25.0, f"c{k % 4}") for k in range(n)] + [(k, box(2, 2, 50, 50), None, 50.0, f"c{k % 4}") for k in range(n, 2 * n)]
