@@ -51,6 +51,15 @@ def test_inner_tests_equal_geometries_once(spark, counted, monkeypatch, members)
     assert seen.value <= 3 * (-(-40 // members)) ** 2
 
 
+def test_semi_and_anti_test_equal_geometries_once(spark, counted):
+    (of, seen), (a, b, want) = counted, sides(spark, 40)
+    b = b.filter("rid % 3 <> 2")
+    overlap = of(lambda x, y: st.st_intersection_area(x, y) > 1e-9)
+    run = lambda how: sorted(r.id for r in geojoin.spatial_join(a, b, ("g", "h"), overlap, how).collect())
+    assert run("left_semi") == list(range(0, 80, 2)) and seen.value <= 2
+    assert run("left_anti") == [-3, -2, -1, *range(1, 80, 2)]
+
+
 def test_left_keeps_every_row(spark, monkeypatch):
     monkeypatch.setattr(geojoin, "MEMBERS", 5)
     a, b, want = sides(spark, 12)
