@@ -118,7 +118,7 @@ def joined_rows(df):
     return out
 
 
-@pytest.mark.parametrize(("name", "n"), [("spatial_join_within", 50 * 100)])
+@pytest.mark.parametrize(("name", "n"), [("spatial_join_intersects", 100 * 100), ("spatial_join_within", 50 * 100)])
 def test_boxes_of_equal_rows_are_joined_once(spark, tmp_path, monkeypatch, name, n):
     """Keys that are alike modulo 8400 and 39600 have equal rectangles."""
     spark.createDataFrame([(8400 * k,) for k in range(100)], "c_custkey long").write.parquet(f"{tmp_path}/customer.parquet")
