@@ -23,7 +23,7 @@ from pyspark.sql import functions as F
 
 from heliolake.functions import st
 from heliolake.functions.geo_columns import measures
-from heliolake.session import cut
+from heliolake.session import cut, partitions
 
 #: Cell sizes are these powers of two: from about 1e-5 to 512 units of the coordinates.
 LEVELS = tuple(range(-17, 10, 2))
@@ -78,6 +78,11 @@ def _meeting(a: DataFrame, b: DataFrame, levels: dict[str, list[int]]) -> DataFr
     return met.drop("__l", "__x", "__y", "alevel", "blevel")
 
 
+def _spread(pairs: DataFrame, *ids: str) -> DataFrame:
+    """The pairs' numbers, evenly over the cluster's width: their size doesn't tell how many rows they stand for, nor a cell's how many pairs it has."""
+    return pairs.select(*ids).repartition(partitions(pairs.sparkSession), *ids)
+
+
 def box_pairs(a: DataFrame, b: DataFrame, where: Column | None = None) -> DataFrame:
     """``aid, bid`` of the boxes that have a common point, each pair once; ``where`` is a further condition on the two boxes.
 
@@ -88,7 +93,7 @@ def box_pairs(a: DataFrame, b: DataFrame, where: Column | None = None) -> DataFr
         edges = [f"{p}{c}" for c in BOX]
         sides[p] = cut(_classes(df.dropna(subset=edges), edges, F.struct(f"{p}id"), f"{p}rows").withColumn(f"__{p}id", F.monotonically_increasing_id()))
     met = _meeting(sides["a"].drop("arows"), sides["b"].drop("brows"), {p: _levels(df, p) for p, df in sides.items()})
-    met = (met if where is None else met.filter(where)).select("__aid", "__bid")
+    met = _spread(met if where is None else met.filter(where), "__aid", "__bid")
     met = met.join(sides["b"].select("__bid", "brows"), "__bid").join(sides["a"].select("__aid", "arows"), "__aid")
     return met.select(F.explode("arows").alias("__a"), "brows").select("__a.aid", F.explode("brows").alias("__b")).select("aid", "__b.bid")
 
@@ -119,8 +124,8 @@ def spatial_join(left: DataFrame, right: DataFrame, on: tuple[str, str], predica
     a, b = _keyed(left, lg, "l", how in ("left", "left_anti")), _keyed(right, rg, "r", False)
     zero = F.lit(0.0)
     boxes = {"a": _boxes(a, "__lid", "a", *(grow or (zero, zero))), "b": _boxes(b, "__rid", "b", zero, zero)}
-    pairs = _meeting(boxes["a"], boxes["b"], {p: _levels(df, p) for p, df in boxes.items()}).select("__lid", "__rid")
-    met = pairs.join(b.drop("__m"), "__rid").join(a.drop("__m"), "__lid").filter(predicate(F.col("__lg"), F.col("__rg")))
+    pairs = _meeting(boxes["a"], boxes["b"], {p: _levels(df, p) for p, df in boxes.items()})
+    met = _spread(pairs, "__lid", "__rid").join(b.drop("__m"), "__rid").join(a.drop("__m"), "__lid").filter(predicate(F.col("__lg"), F.col("__rg")))
     of = lambda p, g, columns: [F.col(f"__{p}g").alias(c) if c == g else F.col(f"__{p}row.`{c}`") for c in columns]
     if how in ("left_semi", "left_anti"):
         some = a.join(met.select("__lid").distinct(), "__lid", how)
