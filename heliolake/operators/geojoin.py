@@ -7,7 +7,7 @@ buildings nor a building among countries takes more than four cells a level. Wha
 join is an id and a box; geometries are fetched for the pairs whose boxes meet and tested in Arrow batches.
 
 Rows of equal boxes or equal geometries form a class, which is joined and tested once; its pairs are spelled out
-at the end, within the task that found them. So the work before the result follows the distinct shapes.
+at the end. So the work before the result follows the distinct shapes, and what is tested in Python carries no rows.
 
 Defined results: rows with null, unreadable or empty geometries meet nothing (left and anti joins keep
 them); equal rows meet as often as they occur; columns of the right side whose names the left one has get the suffix
@@ -44,14 +44,18 @@ def _own_level(p: str) -> Column:
     return out
 
 
-def _levels(df: DataFrame, p: str) -> list[int]:
-    return sorted(r[0] for r in df.select(_own_level(p).alias("level")).distinct().collect())  # at most len(LEVELS) numbers
+def _levels(sides: dict[str, DataFrame]) -> dict[str, list[int]]:
+    """Levels of each side's boxes, by one job: at most len(LEVELS) numbers a side."""
+    a, b = (df.select(F.lit(p).alias("side"), _own_level(p).alias("level")).distinct() for p, df in sides.items())
+    found = a.union(b).collect()
+    return {p: sorted(level for side, level in found if side == p) for p in sides}
 
 
 def _classes(df: DataFrame, by: list[str], row: Column, rows: str) -> DataFrame:
     """One line for every ``MEMBERS`` rows that are equal in ``by``, with the array ``rows`` of their ``row``."""
-    number = F.row_number().over(Window.partitionBy(*by).orderBy(F.lit(0)))
-    return df.select(*by, row.alias("__row"), F.floor((number - 1) / MEMBERS).alias("__n")).groupBy(*by, "__n").agg(F.collect_list("__row").alias(rows)).drop("__n")
+    df = df.select(F.xxhash64(*by).alias("__h"), *by, row.alias("__row"))  # numbers sort faster than texts that begin alike
+    number = F.row_number().over(Window.partitionBy("__h", *by).orderBy(F.lit(0)))
+    return df.withColumn("__n", F.floor((number - 1) / MEMBERS)).groupBy("__h", *by, "__n").agg(F.collect_list("__row").alias(rows)).drop("__h", "__n")
 
 
 def _meeting(a: DataFrame, b: DataFrame, levels: dict[str, list[int]]) -> DataFrame:
@@ -78,9 +82,10 @@ def _meeting(a: DataFrame, b: DataFrame, levels: dict[str, list[int]]) -> DataFr
     return met.drop("__l", "__x", "__y", "alevel", "blevel")
 
 
-def _spread(pairs: DataFrame, *ids: str) -> DataFrame:
-    """The pairs' numbers, evenly over the cluster's width: their size doesn't tell how many rows they stand for, nor a cell's how many pairs it has."""
-    return pairs.select(*ids).repartition(partitions(pairs.sparkSession), *ids)
+def _spread(pairs: DataFrame, *ids: str, each: int | None = None) -> DataFrame:
+    """The pairs' numbers, evenly over the cluster's width: their size doesn't tell how many rows they stand for, nor a cell's how many pairs it has. With ``each`` over so many tasks a core at most."""
+    spark, n = pairs.sparkSession, partitions(pairs.sparkSession)
+    return pairs.select(*ids).repartition(min(n, each * spark.sparkContext.defaultParallelism) if each else n, *ids)
 
 
 def box_pairs(a: DataFrame, b: DataFrame, where: Column | None = None) -> DataFrame:
@@ -92,19 +97,30 @@ def box_pairs(a: DataFrame, b: DataFrame, where: Column | None = None) -> DataFr
     for p, df in (("a", a), ("b", b)):
         edges = [f"{p}{c}" for c in BOX]
         sides[p] = cut(_classes(df.dropna(subset=edges), edges, F.struct(f"{p}id"), f"{p}rows").withColumn(f"__{p}id", F.monotonically_increasing_id()))
-    met = _meeting(sides["a"].drop("arows"), sides["b"].drop("brows"), {p: _levels(df, p) for p, df in sides.items()})
+    met = _meeting(sides["a"].drop("arows"), sides["b"].drop("brows"), _levels(sides))
     met = _spread(met if where is None else met.filter(where), "__aid", "__bid")
     met = met.join(sides["b"].select("__bid", "brows"), "__bid").join(sides["a"].select("__aid", "arows"), "__aid")
     return met.select(F.explode("arows").alias("__a"), "brows").select("__a.aid", F.explode("brows").alias("__b")).select("aid", "__b.bid")
 
 
-def _keyed(df: DataFrame, geometry: str, p: str, nulls: bool) -> DataFrame:
-    """Classes of equal geometries with their number, box and members, written once. Without ``nulls`` rows without a geometry are left out; else they are spread, so that they aren't one task's."""
-    g = F.col(f"`{geometry}`")
-    others = [F.col(f"`{c}`") for c in df.columns if c != geometry] or [F.lit(True).alias("__only")]
-    named = df.select(g.alias(f"__{p}g"), F.struct(*others).alias("__own"), F.when(g.isNull(), F.pmod(F.monotonically_increasing_id(), F.lit(4096))).alias("__spread"))
-    named = named if nulls else named.filter(F.col(f"__{p}g").isNotNull())
-    c = _classes(named, [f"__{p}g", "__spread"], F.col("__own"), f"__{p}rows").drop("__spread")
+def _others(columns: list[str], geometry: str) -> list[str]:
+    return [c for c in columns if c != geometry]
+
+
+def _keyed(df: DataFrame, geometry: str, p: str, nulls: bool, rows: bool = True) -> DataFrame:
+    """Classes of equal geometries with their number, box and, with ``rows``, members, written once. Without ``nulls`` rows without a geometry are left out; else they are spread, so that they aren't one task's.
+
+    Members are structs of the other columns, or the values of the only one: rows are spelled out faster from those.
+    """
+    g, others = F.col(f"`{geometry}`"), _others(df.columns, geometry)
+    if rows:
+        own = F.struct(*[F.col(f"`{c}`") for c in others] or [F.lit(True).alias("__only")])
+        named = df.select(g.alias(f"__{p}g"), own.alias("__own"), F.when(g.isNull(), F.pmod(F.monotonically_increasing_id(), F.lit(4096))).alias("__spread"))
+        named = named if nulls else named.filter(F.col(f"__{p}g").isNotNull())
+        c = _classes(named, [f"__{p}g", "__spread"], F.col("__own"), f"__{p}rows").drop("__spread")
+        c = c.withColumn(f"__{p}rows", F.col(f"__{p}rows")[others[0]]) if len(others) == 1 else c
+    else:
+        c = df.select(g.alias(f"__{p}g")).filter(F.col(f"__{p}g").isNotNull()).distinct()
     return cut(c.withColumns({f"__{p}id": F.monotonically_increasing_id(), "__m": measures(F.col(f"__{p}g"), *BOX)}))
 
 
@@ -113,6 +129,23 @@ def _boxes(keyed: DataFrame, key: str, p: str, dx: Column, dy: Column) -> DataFr
     return keyed.filter("__m.xmin IS NOT NULL").select(key, *[(F.col(f"__m.{k}") + edge[k]).alias(f"{p}{k}") for k in BOX])
 
 
+def _hits(a: DataFrame, b: DataFrame, predicate: Callable[[Column, Column], Column], grow: tuple[Column, Column] | None = None) -> DataFrame:
+    """``__lid, __rid`` of the geometries of two written sides that meet, each pair tested once.
+
+    A test streams its pairs, so a few even tasks a core serve any number of them, and few pairs don't start many Python tasks.
+    """
+    zero = F.lit(0.0)
+    boxes = {"a": _boxes(a, "__lid", "a", *(grow or (zero, zero))), "b": _boxes(b, "__rid", "b", zero, zero)}
+    pairs = _spread(_meeting(boxes["a"], boxes["b"], _levels(boxes)), "__lid", "__rid", each=4)
+    return pairs.join(b.select("__rid", "__rg"), "__rid").join(a.select("__lid", "__lg"), "__lid").filter(predicate(F.col("__lg"), F.col("__rg"))).select("__lid", "__rid")
+
+
+def distinct_join(left: DataFrame, right: DataFrame, predicate: Callable[[Column, Column], Column] = st.st_intersects) -> DataFrame:
+    """Inner join of sides whose geometries ``__lg`` and ``__rg`` don't recur: no classes are formed. Adds ``__lid``, a number of the left row."""
+    a, b = (cut(df.withColumns({f"__{p}id": F.monotonically_increasing_id(), "__m": measures(F.col(f"__{p}g"), *BOX)})) for p, df in (("l", left), ("r", right)))
+    return _hits(a, b, predicate).join(b.drop("__m"), "__rid").join(a.drop("__m"), "__lid").drop("__rid")
+
+
 def spatial_join(left: DataFrame, right: DataFrame, on: tuple[str, str], predicate: Callable[[Column, Column], Column] = st.st_intersects, how: str = "inner", grow: tuple[Column, Column] | None = None) -> DataFrame:
     """Join on a geometry predicate: inner, left, left_semi or left_anti. ``grow`` widens the left boxes in x and y."""
     if how not in ("inner", "left", "left_semi", "left_anti"):
@@ -121,20 +154,22 @@ def spatial_join(left: DataFrame, right: DataFrame, on: tuple[str, str], predica
     names = {c: f"{c}_right" if c in left.columns else c for c in right.columns}
     right = right.withColumnsRenamed({a: b for a, b in names.items() if a != b})
     rg = names[rg]
-    a, b = _keyed(left, lg, "l", how in ("left", "left_anti")), _keyed(right, rg, "r", False)
-    zero = F.lit(0.0)
-    boxes = {"a": _boxes(a, "__lid", "a", *(grow or (zero, zero))), "b": _boxes(b, "__rid", "b", zero, zero)}
-    pairs = _meeting(boxes["a"], boxes["b"], {p: _levels(df, p) for p, df in boxes.items()})
-    met = _spread(pairs, "__lid", "__rid").join(b.drop("__m"), "__rid").join(a.drop("__m"), "__lid").filter(predicate(F.col("__lg"), F.col("__rg")))
-    of = lambda p, g, columns: [F.col(f"__{p}g").alias(c) if c == g else F.col(f"__{p}row.`{c}`") for c in columns]
-    if how in ("left_semi", "left_anti"):
-        some = a.join(met.select("__lid").distinct(), "__lid", how)
-        return some.select("__lg", F.explode("__lrows").alias("__lrow")).select(*of("l", lg, left.columns))
-    if how == "left":
-        met = a.drop("__m").join(met.select("__lid", "__rid", "__rg", "__rrows"), "__lid", "left")
+    some = how in ("left_semi", "left_anti")
+    a, b = _keyed(left, lg, "l", how in ("left", "left_anti")), _keyed(right, rg, "r", False, not some)
+    hits = _hits(a, b, predicate, grow)
+
+    def of(p: str, g: str, columns: list[str]) -> list[Column]:
+        row = F.col(f"__{p}row")
+        return [F.col(f"__{p}g").alias(c) if c == g else (row if len(_others(columns, g)) == 1 else row[c]).alias(c) for c in columns]
+
+    if some:
+        met = a.join(hits.select("__lid").distinct(), "__lid", how)
+        return met.select("__lg", F.explode("__lrows").alias("__lrow")).select(*of("l", lg, left.columns))
+    met = _spread(hits, "__lid", "__rid").join(b.drop("__m"), "__rid")
+    met = met.join(a.drop("__m"), "__lid") if how == "inner" else a.drop("__m").join(met, "__lid", "left")
     each = F.explode if how == "inner" else F.explode_outer
     met = met.select("__lg", "__rg", F.explode("__lrows").alias("__lrow"), "__rrows").select("__lg", "__rg", "__lrow", each("__rrows").alias("__rrow"))
-    return met.select(*of("l", lg, left.columns), *of("r", rg, names.values()))
+    return met.select(*of("l", lg, left.columns), *of("r", rg, list(names.values())))
 
 
 def spatial_join_within_distance(left: DataFrame, right: DataFrame, on: tuple[str, str], distance_m: float = 1000.0, degrees: bool = False) -> DataFrame:

@@ -134,3 +134,39 @@ def test_boxes_of_equal_rows_are_joined_once(spark, tmp_path, monkeypatch, name,
     want = sorted((c[0], p[0]) for c in rects["customer"] for p in rects["part"] if meet(c, p))
     assert got == want and len(want) == n
     assert 0 < joined_rows(df) <= 2 * 2 * 2
+
+
+@pytest.fixture
+def batches(spark):
+    """A predicate by name that counts the batches it is given, where a shuffle is wider than the machine."""
+    seen, wide = spark.sparkContext.accumulator(0), 12 * spark.sparkContext.defaultParallelism
+
+    def of(predicate):
+        @F.arrow_udf(T.BooleanType())
+        def f(met: pa.Array) -> pa.Array:
+            seen.add(1)
+            return met
+
+        return lambda a, b: f(predicate(a, b))
+
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", wide)
+    yield of, seen
+    spark.conf.set("spark.sql.shuffle.partitions", before)
+
+
+def grid(spark, n, key):
+    """n boxes; those of two grids meet where their numbers are the same, and nowhere else."""
+    return spark.createDataFrame([(k, box(k % 40 * 10, k // 40 * 10, k % 40 * 10 + 4, k // 40 * 10 + 4)) for k in range(n)], f"{key} long, g string")
+
+
+def few_tasks(spark, seen, rows, n):
+    assert rows == list(range(n)) and 0 < seen.value <= 4 * spark.sparkContext.defaultParallelism
+
+
+def test_context_tests_few_pairs_in_few_tasks(spark, batches, monkeypatch):
+    of, seen = batches
+    monkeypatch.setitem(C.PREDICATES, "intersects", of(st.st_intersects))
+    layer = grid(spark, 1000, "fid").withColumnRenamed("g", "shape")
+    got = C.layer_context(grid(spark, 1000, "id"), layer, "id", "g", "shape", "fid", [], [F.lit(1)], "there").collect()
+    few_tasks(spark, seen, sorted(r.fid for r in got if r.fid == r.id and r.there), 1000)
