@@ -170,3 +170,10 @@ def test_context_tests_few_pairs_in_few_tasks(spark, batches, monkeypatch):
     layer = grid(spark, 1000, "fid").withColumnRenamed("g", "shape")
     got = C.layer_context(grid(spark, 1000, "id"), layer, "id", "g", "shape", "fid", [], [F.lit(1)], "there").collect()
     few_tasks(spark, seen, sorted(r.fid for r in got if r.fid == r.id and r.there), 1000)
+
+
+
+def test_semi_tests_few_pairs_in_few_tasks(spark, batches):
+    of, seen = batches
+    got = geojoin.spatial_join(grid(spark, 1000, "id"), grid(spark, 1000, "rid"), ("g", "g"), of(lambda a, b: st.st_intersection_area(a, b) > 1e-9), "left_semi").collect()
+    few_tasks(spark, seen, sorted(r.id for r in got), 1000)
