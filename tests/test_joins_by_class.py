@@ -172,8 +172,24 @@ def test_context_tests_few_pairs_in_few_tasks(spark, batches, monkeypatch):
     few_tasks(spark, seen, sorted(r.fid for r in got if r.fid == r.id and r.there), 1000)
 
 
+def test_distance_tests_few_pairs_in_few_tasks(spark, batches, monkeypatch):
+    of, seen = batches
+    within = st.st_dwithin
+    monkeypatch.setattr(st, "st_dwithin", lambda *d, **k: of(within(*d, **k)))
+    got = geojoin.spatial_join_within_distance(grid(spark, 1000, "id"), grid(spark, 1000, "rid"), ("g", "g"), 3.0, degrees=True).collect()
+    few_tasks(spark, seen, sorted(r.id for r in got if r.id == r.rid), 1000)
+
 
 def test_semi_tests_few_pairs_in_few_tasks(spark, batches):
     of, seen = batches
     got = geojoin.spatial_join(grid(spark, 1000, "id"), grid(spark, 1000, "rid"), ("g", "g"), of(lambda a, b: st.st_intersection_area(a, b) > 1e-9), "left_semi").collect()
     few_tasks(spark, seen, sorted(r.id for r in got), 1000)
+
+
+def test_only_column_beside_the_geometry_may_be_null(spark):
+    a = spark.createDataFrame([(None, box(0, 0, 4, 4)), (1, box(0, 0, 4, 4)), (None, box(9, 9, 10, 10))], "id long, g string")
+    b = spark.createDataFrame([(None, box(1, 1, 2, 2)), (None, box(1, 1, 2, 2)), (7, box(1, 1, 2, 2))], "rid long, h string")
+    rows = lambda how: sorted((r.id or 0, r.asDict().get("rid") or 0, r.asDict().get("h") is not None) for r in geojoin.spatial_join(a, b, ("g", "h"), how=how).collect())
+    assert rows("inner") == [(0, 0, True), (0, 0, True), (0, 7, True), (1, 0, True), (1, 0, True), (1, 7, True)]
+    assert rows("left") == [(0, 0, False), *rows("inner")]
+    assert rows("left_semi") == [(0, 0, False), (1, 0, False)] and rows("left_anti") == [(0, 0, False)]
