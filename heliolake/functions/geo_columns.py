@@ -35,6 +35,19 @@ def measures(geometry: Column, *names: str) -> Column:
     return of.asNondeterministic()(geometry)
 
 
+@F.arrow_udf(T.StructType([*[T.StructField(n, T.DoubleType()) for n in ("xmin", "ymin", "xmax", "ymax")], T.StructField("full", T.BooleanType())]))
+def _outline(column: pa.Array) -> pa.Array:
+    r = decode(column)
+    m = G.measure(r)
+    names = ["xmin", "ymin", "xmax", "ymax"]
+    return pa.StructArray.from_arrays([*[pa.array(getattr(m, n), mask=~m.has) for n in names], pa.array(G.rectangles(r))], names=[*names, "full"])
+
+
+def outline(geometry: Column) -> Column:
+    """Struct of the box, null where the geometry has no vertices, and ``full``: is it a polygon that fills its box? Not deterministic, as :func:`measures`."""
+    return _outline.asNondeterministic()(geometry)
+
+
 def with_position(df: DataFrame, geometry: str, lon: str = "pos_lon", lat: str = "pos_lat") -> DataFrame:
     """Add the area centroid (the point itself for points, null if empty)."""
     m = df.withColumn("__m", measures(F.col(f"`{geometry}`"), "cx", "cy"))

@@ -8,6 +8,7 @@ join is an id and a box; geometries are fetched for the pairs whose boxes meet a
 
 Rows of equal boxes or equal geometries form a class, which is joined and tested once; its pairs are spelled out
 at the end. So the work before the result follows the distinct shapes, and what is tested in Python carries no rows.
+Of polygons that fill their boxes the boxes tell everything: with ``by_box`` such pairs aren't tested in Python at all.
 
 Defined results: rows with null, unreadable or empty geometries meet nothing (left and anti joins keep
 them); equal rows meet as often as they occur; columns of the right side whose names the left one has get the suffix
@@ -17,19 +18,22 @@ them); equal rows meet as often as they occur; columns of the right side whose n
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from heliolake.functions import st
-from heliolake.functions.geo_columns import measures
-from heliolake.session import cut, partitions
+from heliolake.functions.geo_columns import measures, outline
+from heliolake.session import cut, cut_all, file_bytes, partitions
 
 #: Cell sizes are these powers of two: from about 1e-5 to 512 units of the coordinates.
 LEVELS = tuple(range(-17, 10, 2))
 BOX = ("xmin", "ymin", "xmax", "ymax")
 #: Most rows of one class: more equal rows form several, so that no row of a class grows with the table.
 MEMBERS = 1024
+#: Most bytes of the written classes of a side that are sent to all tasks instead of being shuffled once for each pair.
+SMALL = 32 << 20
 
 
 def _size(level: Column) -> Column:
@@ -44,11 +48,11 @@ def _own_level(p: str) -> Column:
     return out
 
 
-def _levels(sides: dict[str, DataFrame]) -> dict[str, list[int]]:
-    """Levels of each side's boxes, by one job: at most len(LEVELS) numbers a side."""
-    a, b = (df.select(F.lit(p).alias("side"), _own_level(p).alias("level")).distinct() for p, df in sides.items())
+def _levels(sides: dict[str, DataFrame], full: dict[str, Column] | None = None) -> dict[str, dict[bool, list[int]]]:
+    """Levels of each side's boxes, of those that are ``full`` and of the others, by one job: at most len(LEVELS) numbers each."""
+    a, b = (df.select(F.lit(p).alias("side"), (full[p] if full else F.lit(False)).alias("full"), _own_level(p).alias("level")).distinct() for p, df in sides.items())
     found = a.union(b).collect()
-    return {p: sorted(level for side, level in found if side == p) for p in sides}
+    return {p: {f: sorted(level for side, is_full, level in found if (side, is_full) == (p, f)) for f in (False, True)} for p in sides}
 
 
 def _classes(df: DataFrame, by: list[str], row: Column, rows: str) -> DataFrame:
@@ -97,7 +101,7 @@ def box_pairs(a: DataFrame, b: DataFrame, where: Column | None = None) -> DataFr
     for p, df in (("a", a), ("b", b)):
         edges = [f"{p}{c}" for c in BOX]
         sides[p] = cut(_classes(df.dropna(subset=edges), edges, F.struct(f"{p}id"), f"{p}rows").withColumn(f"__{p}id", F.monotonically_increasing_id()))
-    met = _meeting(sides["a"].drop("arows"), sides["b"].drop("brows"), _levels(sides))
+    met = _meeting(sides["a"].drop("arows"), sides["b"].drop("brows"), {p: of[False] for p, of in _levels(sides).items()})
     met = _spread(met if where is None else met.filter(where), "__aid", "__bid")
     met = met.join(sides["b"].select("__bid", "brows"), "__bid").join(sides["a"].select("__aid", "arows"), "__aid")
     return met.select(F.explode("arows").alias("__a"), "brows").select("__a.aid", F.explode("brows").alias("__b")).select("aid", "__b.bid")
@@ -108,7 +112,7 @@ def _others(columns: list[str], geometry: str) -> list[str]:
 
 
 def _keyed(df: DataFrame, geometry: str, p: str, nulls: bool, rows: bool = True) -> DataFrame:
-    """Classes of equal geometries with their number, box and, with ``rows``, members, written once. Without ``nulls`` rows without a geometry are left out; else they are spread, so that they aren't one task's.
+    """Classes of equal geometries with their number, outline and, with ``rows``, members, to be written once. Without ``nulls`` rows without a geometry are left out; else they are spread, so that they aren't one task's.
 
     Members are structs of the other columns, or the values of the only one: rows are spelled out faster from those.
     """
@@ -121,23 +125,50 @@ def _keyed(df: DataFrame, geometry: str, p: str, nulls: bool, rows: bool = True)
         c = c.withColumn(f"__{p}rows", F.col(f"__{p}rows")[others[0]]) if len(others) == 1 else c
     else:
         c = df.select(g.alias(f"__{p}g")).filter(F.col(f"__{p}g").isNotNull()).distinct()
-    return cut(c.withColumns({f"__{p}id": F.monotonically_increasing_id(), "__m": measures(F.col(f"__{p}g"), *BOX)}))
+    return c.withColumns({f"__{p}id": F.monotonically_increasing_id(), "__m": outline(F.col(f"__{p}g"))})
 
 
-def _boxes(keyed: DataFrame, key: str, p: str, dx: Column, dy: Column) -> DataFrame:
+def _boxes(keyed: DataFrame, key: str, p: str, dx: Column, dy: Column, outlined: bool = False) -> DataFrame:
+    """Number and widened box; if ``outlined``, also the box as it is and ``full``, as flat columns, since fields are cut out of structs wrongly below a generator."""
     edge = {"xmin": -dx, "ymin": -dy, "xmax": dx, "ymax": dy}
-    return keyed.filter("__m.xmin IS NOT NULL").select(key, *[(F.col(f"__m.{k}") + edge[k]).alias(f"{p}{k}") for k in BOX])
+    return keyed.filter("__m.xmin IS NOT NULL").select(key, *[(F.col(f"__m.{k}") + edge[k]).alias(f"{p}{k}") for k in BOX], *[F.col(f"__m.{k}").alias(f"__{p}{k}") for k in (*BOX, "full") if outlined])
 
 
-def _hits(a: DataFrame, b: DataFrame, predicate: Callable[[Column, Column], Column], grow: tuple[Column, Column] | None = None) -> DataFrame:
+def box_distance(a: Column, b: Column) -> Column:
+    """Least distance of two boxes in the units of their coordinates, 0 where they meet."""
+    gap = lambda c: F.greatest(F.lit(0.0), a[f"{c}min"] - b[f"{c}max"], b[f"{c}min"] - a[f"{c}max"])
+    return F.sqrt(gap("x") * gap("x") + gap("y") * gap("y"))
+
+
+def _hits(a: DataFrame, b: DataFrame, predicate: Callable[[Column, Column], Column], grow: tuple[Column, Column] | None = None, by_box: Callable[[Column, Column], Column] | None = None) -> DataFrame:
     """``__lid, __rid`` of the geometries of two written sides that meet, each pair tested once.
 
     A test streams its pairs, so a few even tasks a core serve any number of them, and few pairs don't start many Python tasks.
+    With ``by_box`` pairs of which both fill their boxes are told by their boxes and their geometries aren't read; all others are tested.
     """
     zero = F.lit(0.0)
-    boxes = {"a": _boxes(a, "__lid", "a", *(grow or (zero, zero))), "b": _boxes(b, "__rid", "b", zero, zero)}
-    pairs = _spread(_meeting(boxes["a"], boxes["b"], _levels(boxes)), "__lid", "__rid", each=4)
-    return pairs.join(b.select("__rid", "__rg"), "__rid").join(a.select("__lid", "__lg"), "__lid").filter(predicate(F.col("__lg"), F.col("__rg"))).select("__lid", "__rid")
+    boxes = {"a": _boxes(a, "__lid", "a", *(grow or (zero, zero)), by_box is not None), "b": _boxes(b, "__rid", "b", zero, zero, by_box is not None)}
+
+    def tested(pairs: DataFrame) -> DataFrame:
+        pairs = _spread(pairs, "__lid", "__rid", each=4)
+        return pairs.join(b.select("__rid", "__rg"), "__rid").join(a.select("__lid", "__lg"), "__lid").filter(predicate(F.col("__lg"), F.col("__rg"))).select("__lid", "__rid")
+
+    if by_box is None:
+        return tested(_meeting(boxes["a"], boxes["b"], {p: of[False] for p, of in _levels(boxes).items()}))
+    full = {p: F.col(f"__{p}full") for p in boxes}
+    levels = _levels(boxes, full)
+
+    def met(*of: tuple[bool, ...]) -> DataFrame | None:
+        """Pairs of the full, the other or all boxes of each side; None if a side has none of these."""
+        on = {p: sorted({level for f in which for level in levels[p][f]}) for p, which in zip(boxes, of)}
+        return _meeting(*[df.filter(full[p].isin(*which)) for (p, df), which in zip(boxes.items(), of)], on) if all(on.values()) else None
+
+    told = met((True,), (True,))
+    own = [F.struct(*[F.col(f"__{p}{k}").alias(k) for k in BOX]) for p in boxes]
+    parts = [told.filter(by_box(*own)).select("__lid", "__rid")] if told is not None else []
+    rest = [pairs.select("__lid", "__rid") for pairs in (met((False,), (False, True)), met((True,), (False,))) if pairs is not None]
+    parts += [tested(reduce(DataFrame.union, rest))] if rest else []
+    return reduce(DataFrame.union, parts) if parts else a.select("__lid").limit(0).join(b.select("__rid").limit(0), F.lit(True))
 
 
 def distinct_join(left: DataFrame, right: DataFrame, predicate: Callable[[Column, Column], Column] = st.st_intersects) -> DataFrame:
@@ -146,8 +177,11 @@ def distinct_join(left: DataFrame, right: DataFrame, predicate: Callable[[Column
     return _hits(a, b, predicate).join(b.drop("__m"), "__rid").join(a.drop("__m"), "__lid").drop("__rid")
 
 
-def spatial_join(left: DataFrame, right: DataFrame, on: tuple[str, str], predicate: Callable[[Column, Column], Column] = st.st_intersects, how: str = "inner", grow: tuple[Column, Column] | None = None) -> DataFrame:
-    """Join on a geometry predicate: inner, left, left_semi or left_anti. ``grow`` widens the left boxes in x and y."""
+def spatial_join(left: DataFrame, right: DataFrame, on: tuple[str, str], predicate: Callable[[Column, Column], Column] = st.st_intersects, how: str = "inner", grow: tuple[Column, Column] | None = None, by_box: Callable[[Column, Column], Column] | None = None) -> DataFrame:
+    """Join on a geometry predicate: inner, left, left_semi or left_anti. ``grow`` widens the left boxes in x and y.
+
+    ``by_box`` is the same predicate on two boxes, structs of ``BOX``: pairs of polygons that fill their boxes are told by it, without a test in Python.
+    """
     if how not in ("inner", "left", "left_semi", "left_anti"):
         raise ValueError(f"unsupported join: {how}")
     lg, rg = on
@@ -155,8 +189,8 @@ def spatial_join(left: DataFrame, right: DataFrame, on: tuple[str, str], predica
     right = right.withColumnsRenamed({a: b for a, b in names.items() if a != b})
     rg = names[rg]
     some = how in ("left_semi", "left_anti")
-    a, b = _keyed(left, lg, "l", how in ("left", "left_anti")), _keyed(right, rg, "r", False, not some)
-    hits = _hits(a, b, predicate, grow)
+    a, b = cut_all(_keyed(left, lg, "l", how in ("left", "left_anti")), _keyed(right, rg, "r", False, not some))
+    hits = _hits(a, b, predicate, grow, by_box)
 
     def of(p: str, g: str, columns: list[str]) -> list[Column]:
         row = F.col(f"__{p}row")
@@ -165,15 +199,18 @@ def spatial_join(left: DataFrame, right: DataFrame, on: tuple[str, str], predica
     if some:
         met = a.join(hits.select("__lid").distinct(), "__lid", how)
         return met.select("__lg", F.explode("__lrows").alias("__lrow")).select(*of("l", lg, left.columns))
-    met = _spread(hits, "__lid", "__rid").join(b.drop("__m"), "__rid")
-    met = met.join(a.drop("__m"), "__lid") if how == "inner" else a.drop("__m").join(met, "__lid", "left")
+    few = max(file_bytes(a), file_bytes(b)) <= SMALL
+    a, b = a.drop("__m"), b.drop("__m")
+    # where the members go to the pairs, the pairs' tasks spell the rows out; else the pairs are shuffled again, by each number
+    met = _spread(hits, "__lid", "__rid", each=None if few else 4).join(F.broadcast(b) if few else b, "__rid")
+    met = met.join(F.broadcast(a) if few else a, "__lid") if how == "inner" else a.join(met, "__lid", "left")
     each = F.explode if how == "inner" else F.explode_outer
     met = met.select("__lg", "__rg", F.explode("__lrows").alias("__lrow"), "__rrows").select("__lg", "__rg", "__lrow", each("__rrows").alias("__rrow"))
     return met.select(*of("l", lg, left.columns), *of("r", rg, list(names.values())))
 
 
-def spatial_join_within_distance(left: DataFrame, right: DataFrame, on: tuple[str, str], distance_m: float = 1000.0, degrees: bool = False) -> DataFrame:
-    """Pairs whose geometries are at most ``distance_m`` metres apart, or degrees if ``degrees`` says so."""
+def spatial_join_within_distance(left: DataFrame, right: DataFrame, on: tuple[str, str], distance_m: float = 1000.0, degrees: bool = False, by_box: bool = False) -> DataFrame:
+    """Pairs whose geometries are at most ``distance_m`` metres apart, or degrees if ``degrees`` says so. With ``by_box`` and degrees pairs of polygons that fill their boxes are told by these."""
     if degrees:
         grow = (F.lit(distance_m), F.lit(distance_m))
     else:
@@ -181,4 +218,5 @@ def spatial_join_within_distance(left: DataFrame, right: DataFrame, on: tuple[st
         # as wide as the parallel nearest to a pole needs
         lat = F.least(F.greatest(F.abs("__m.ymin"), F.abs("__m.ymax")) + deg, F.lit(89.9))
         grow = (F.lit(deg) / F.cos(F.radians(lat)), F.lit(deg))
-    return spatial_join(left, right, on, st.st_dwithin(distance_m, metres=not degrees), grow=grow)
+    told = (lambda a, b: box_distance(a, b) <= distance_m) if by_box and degrees else None
+    return spatial_join(left, right, on, st.st_dwithin(distance_m, metres=not degrees), grow=grow, by_box=told)

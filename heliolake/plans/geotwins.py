@@ -165,7 +165,7 @@ def join_geometry_anti(spark: SparkSession, sf: str) -> DataFrame:
 
 @twin(f"SELECT c.id, p.id AS part_id FROM ({RECT_CUSTOMER}) c JOIN ({RECT_PART}) p ON c.x0 - p.x1 <= 3 AND p.x0 - c.x1 <= 3 AND power(greatest(0, c.x0 - p.x1, p.x0 - c.x1), 2) + power(greatest(0, c.y0 - p.y1, p.y0 - c.y1), 2) <= 9")
 def join_geometry_distance(spark: SparkSession, sf: str) -> DataFrame:
-    return spatial_join_within_distance(*_sides(spark, sf), ("g", "g"), 3.0, degrees=True).select("id", "part_id")
+    return spatial_join_within_distance(*_sides(spark, sf), ("g", "g"), 3.0, degrees=True, by_box=True).select("id", "part_id")
 
 
 @twin(f"""SELECT a.c_custkey AS a, b.c_custkey AS b FROM ({LONLAT}) a JOIN ({LONLAT}) b ON a.c_custkey < b.c_custkey

@@ -7,10 +7,11 @@ import pytest
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from heliolake.functions import geometry as G
 from heliolake.functions import st
 from heliolake.operators import context as C
 from heliolake.operators import geojoin
-from heliolake.plans import twins
+from heliolake.plans import geotwins, twins
 
 
 def box(x0, y0, x1, y1):
@@ -193,3 +194,77 @@ def test_only_column_beside_the_geometry_may_be_null(spark):
     assert rows("inner") == [(0, 0, True), (0, 0, True), (0, 7, True), (1, 0, True), (1, 0, True), (1, 7, True)]
     assert rows("left") == [(0, 0, False), *rows("inner")]
     assert rows("left_semi") == [(0, 0, False), (1, 0, False)] and rows("left_anti") == [(0, 0, False)]
+
+
+TABLES = {"c_custkey": [*range(0, 600, 7), 8400, 16800], "p_partkey": [*range(0, 600, 5), 39600, 79200]}
+
+
+@pytest.fixture
+def rectangles(spark, tmp_path):
+    """Folder of two tables, and the rectangles that their keys stand for."""
+    for key, values in TABLES.items():
+        spark.createDataFrame([(k,) for k in values], f"{key} long").write.parquet(f"{tmp_path}/{'customer' if key[0] == 'c' else 'part'}.parquet")
+    return str(tmp_path), *[[tuple(r)[:5] for r in twins.rects(spark, str(tmp_path), w).collect()] for w in ("customer", "part")]
+
+
+def gaps(c, p):
+    """Distances of two rectangles in x and y, below 0 where they have a stretch in common."""
+    return max(c[1] - p[3], p[1] - c[3]), max(c[2] - p[4], p[2] - c[4])
+
+
+@pytest.mark.parametrize("small", [0, geojoin.SMALL], ids=["shuffled", "sent"])
+def test_distance_of_rectangles_is_told_by_boxes(spark, counted, rectangles, monkeypatch, small):
+    """No pair is tested in Python, and those at the limit itself are near."""
+    (of, seen), (folder, customers, parts) = counted, rectangles
+    monkeypatch.setattr(geojoin, "SMALL", small)
+    within = st.st_dwithin
+    monkeypatch.setattr(st, "st_dwithin", lambda *d, **k: of(within(*d, **k)))
+    got = sorted(map(tuple, geotwins.QUERIES["join_geometry_distance"](spark, folder).collect()))
+    squares = {(c[0], p[0]): sum(max(0, g) ** 2 for g in gaps(c, p)) for c in customers for p in parts}
+    assert got == sorted(k for k, d in squares.items() if d <= 9) and 9 in squares.values()
+    assert seen.value == 0
+
+
+@pytest.mark.parametrize("how", ["inner", "left", "left_semi", "left_anti"])
+def test_only_shapes_that_fill_their_boxes_are_told_by_them(spark, counted, how):
+    """A triangle, a rectangle with a hole, two parts and a point are tested; nulls and empty shapes meet nothing."""
+    of, seen = counted
+    odd = ["POLYGON ((0 0, 8 0, 0 8, 0 0))", "POLYGON ((20 0, 30 0, 30 10, 20 10, 20 0), (21 1, 29 1, 29 9, 21 9, 21 1))", f"MULTIPOLYGON ((({box(0, 20, 1, 21)[10:-2]})), (({box(8, 28, 9, 29)[10:-2]})))", "POINT (41 1)", None, "POLYGON EMPTY"]
+    a = spark.createDataFrame([*enumerate(odd), (10, box(40, 0, 44, 4)), (11, box(90, 90, 91, 91))], "id long, g string")
+    b = spark.createDataFrame([(0, box(7, 7, 8, 8)), (1, box(24, 4, 26, 6)), (2, box(3, 23, 6, 26)), (3, box(40, 0, 42, 2)), (4, odd[0]), (5, None), (6, box(28, 5, 40, 6))], "rid long, h string")
+    want = {(0, 4), (1, 6), (3, 3), (10, 3)}
+    meet = lambda a, b: geojoin.box_distance(a, b) <= 0
+    got = geojoin.spatial_join(a, b, ("g", "h"), of(st.st_intersects), how, by_box=meet).collect()
+    hit, ids = {p for p, _ in want}, {0, 1, 2, 3, 4, 5, 10, 11}
+    wanted = {"inner": want, "left": want | {(k, None) for k in ids - hit}, "left_semi": {(k,) for k in hit}, "left_anti": {(k,) for k in ids - hit}}[how]
+    key = lambda t: tuple(v if v is not None else -1 for v in t)
+    assert sorted([(r.id, *([r.rid] if how in ("inner", "left") else [])) for r in got], key=key) == sorted(wanted, key=key)
+    assert 0 < seen.value <= 7
+
+
+@pytest.mark.parametrize("empty", ["left", "right"])
+def test_by_box_of_an_empty_side(spark, empty):
+    a, b, _ = sides(spark, 3)
+    a, b = (a.filter("false") if empty == "left" else a), (b.filter("false") if empty == "right" else b)
+    near = geojoin.spatial_join_within_distance(a, b, ("g", "h"), 5.0, degrees=True, by_box=True)
+    assert near.columns == ["id", "g", "rid", "h"] and near.count() == 0
+
+
+def test_rectangles():
+    told = {
+        box(0, 0, 4, 3): True,
+        "POLYGON ((0 0, 0 3, 4 3, 4 0, 0 0))": True,
+        "MULTIPOLYGON (((0 0, 0 3, 4 3, 4 0, 0 0)))": True,
+        "POLYGON ((0 0, 4 0, 4 3, 0 3))": False,
+        "POLYGON ((0 0, 4 3, 4 0, 0 3, 0 0))": False,
+        "POLYGON ((0 0, 4 0, 4 0, 0 0, 0 0))": False,
+        "POLYGON ((0 0, 4 0, 4 3, 1 3, 0 0))": False,
+        "POLYGON ((2 0, 4 2, 2 4, 0 2, 2 0))": False,
+        "LINESTRING (0 0, 4 0, 4 3, 0 3, 0 0)": False,
+        "POLYGON ((0 0, 4 0, 4 3, 0 3, 0 0), (1 1, 2 1, 2 2, 1 2, 1 1))": False,
+        "MULTIPOLYGON (((0 0, 0 3, 4 3, 4 0, 0 0)), ((9 9, 9 10, 10 10, 10 9, 9 9)))": False,
+        "POLYGON EMPTY": False,
+        "POINT (1 1)": False,
+    }
+    assert G.rectangles(G.decode_wkt([*told, None])).tolist() == [*told.values(), False]
+    assert G.rectangles(G.decode_wkt([None, "POLYGON EMPTY"])).tolist() == [False, False]
