@@ -134,6 +134,12 @@ def _boxes(keyed: DataFrame, key: str, p: str, dx: Column, dy: Column, outlined:
     return keyed.filter("__m.xmin IS NOT NULL").select(key, *[(F.col(f"__m.{k}") + edge[k]).alias(f"{p}{k}") for k in BOX], *[F.col(f"__m.{k}").alias(f"__{p}{k}") for k in (*BOX, "full") if outlined])
 
 
+def common_box_area(a: Column, b: Column) -> Column:
+    """Area common to two boxes."""
+    side = lambda c: F.greatest(F.lit(0.0), F.least(a[f"{c}max"], b[f"{c}max"]) - F.greatest(a[f"{c}min"], b[f"{c}min"]))
+    return side("x") * side("y")
+
+
 def box_distance(a: Column, b: Column) -> Column:
     """Least distance of two boxes in the units of their coordinates, 0 where they meet."""
     gap = lambda c: F.greatest(F.lit(0.0), a[f"{c}min"] - b[f"{c}max"], b[f"{c}min"] - a[f"{c}max"])

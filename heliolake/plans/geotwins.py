@@ -17,7 +17,7 @@ from heliolake.functions import st
 from heliolake.operators import context as C
 from heliolake.operators import relational as R
 from heliolake.operators import spatial
-from heliolake.operators.geojoin import spatial_join, spatial_join_within_distance
+from heliolake.operators.geojoin import common_box_area, spatial_join, spatial_join_within_distance
 from heliolake.plans import lakehouse, twins
 from heliolake.plans.twins import LONLAT, RECT_CUSTOMER, RECT_PART, lonlat, rects
 from heliolake.session import own_folder
@@ -150,7 +150,7 @@ def join_geometry_left_within(spark: SparkSession, sf: str) -> DataFrame:
 @twin(f"SELECT c.id FROM ({RECT_CUSTOMER}) c WHERE EXISTS (SELECT 1 FROM ({RECT_PART}) p WHERE p.x0 > c.x0 AND p.x1 < c.x1 AND p.y0 > c.y0 AND p.y1 < c.y1) OR EXISTS (SELECT 1 FROM ({RECT_PART}) p WHERE {_MEET} AND greatest(0, least(c.x1, p.x1) - greatest(c.x0, p.x0)) * greatest(0, least(c.y1, p.y1) - greatest(c.y0, p.y0)) > 0)")
 def join_geometry_semi(spark: SparkSession, sf: str) -> DataFrame:
     """Rows that share an area with some other."""
-    return spatial_join(*_sides(spark, sf), ("g", "g"), lambda a, b: st.st_intersection_area(a, b) > 1e-9, "left_semi").select("id")
+    return spatial_join(*_sides(spark, sf), ("g", "g"), lambda a, b: st.st_intersection_area(a, b) > 1e-9, "left_semi", by_box=lambda a, b: common_box_area(a, b) > 1e-9).select("id")
 
 
 @twin(f"SELECT p.id AS part_id FROM ({RECT_PART}) p WHERE NOT EXISTS (SELECT 1 FROM ({RECT_CUSTOMER}) c WHERE {_MEET} AND c.id % 3 = p.id % 3 AND c.x0 >= 0 AND c.id IN (SELECT min(c_custkey) + k * 7 FROM customer, range(40) t(k) GROUP BY k))")

@@ -225,6 +225,28 @@ def test_distance_of_rectangles_is_told_by_boxes(spark, counted, rectangles, mon
     assert seen.value == 0
 
 
+def test_semi_of_rectangles_is_told_by_boxes(spark, counted, rectangles, monkeypatch):
+    """No pair is tested in Python, and a border in common is no area."""
+    (_, seen), (folder, customers, parts) = counted, rectangles
+    area = st.st_intersection_area
+
+    @F.arrow_udf(T.DoubleType())
+    def noted(a: pa.Array) -> pa.Array:
+        seen.add(len(a))
+        return a
+
+    monkeypatch.setattr(st, "st_intersection_area", lambda a, b: noted(area(a, b)))
+    borders = [(1200 * k + 1,) for k in range(40)]
+    spark.createDataFrame(borders, "c_custkey long").write.mode("append").parquet(f"{folder}/customer.parquet")
+    customers = [tuple(r)[:5] for r in twins.rects(spark, folder, "customer").collect()]
+    got = sorted(r.id for r in geotwins.QUERIES["join_geometry_semi"](spark, folder).collect())
+    near = {c[0]: [gaps(c, p) for p in parts] for c in customers}
+    want = sorted(c[0] for c in customers if any(max(g) < 0 for g in near[c[0]]))
+    assert got == want and 0 < len(want) < len(customers)
+    assert any(max(g) == 0 for c in set(near) - set(want) for g in near[c])
+    assert seen.value == 0
+
+
 @pytest.mark.parametrize("how", ["inner", "left", "left_semi", "left_anti"])
 def test_only_shapes_that_fill_their_boxes_are_told_by_them(spark, counted, how):
     """A triangle, a rectangle with a hole, two parts and a point are tested; nulls and empty shapes meet nothing."""
